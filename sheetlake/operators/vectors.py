@@ -11,14 +11,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from sheetlake.functions import fixed
-from sheetlake.operators.sizes import is_small
 from sheetlake.operators.topn import first_n
 
 # The task functions below travel with the plan, so executors need no copy of
 # this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_QUERY_ROWS = 20_000
+# Numbers in a batch of queries that may be sent to every task (32 MB of doubles).
+MAX_QUERY_VALUES = 4_000_000
 BLOCK_QUERIES = 4_096
 BLOCK_VECTORS = 131_072
 
@@ -121,20 +121,22 @@ def knn_l2(vectors: DataFrame, queries: DataFrame, k: int = fixed.TOP_K) -> Data
     asked = vector_table(queries.withColumnRenamed("query_id", "id"), dimension).withColumnRenamed(
         "id", "query_id"
     )
-    if is_small(asked, max_rows=MAX_QUERY_ROWS):
-        local = _nearest_by_task(usable, asked, k, dimension, schema)
+    most = max(1, MAX_QUERY_VALUES // dimension)
+    table = asked.limit(most + 1).toArrow()
+    if table.num_rows <= most:
+        local = _nearest_by_task(usable, table, k, dimension, schema)
     else:
         local = _nearest_by_block(usable, asked, k, dimension, schema)
     ranked = first_n(local, ["query_id"], [F.asc("distance"), F.asc("id")], k)
     return ranked.select("query_id", "rank", "id", "distance")
 
 
-def _nearest_by_task(vectors, queries, k, dimension, schema) -> DataFrame:
-    table = queries.toArrow()
+def _nearest_by_task(vectors: DataFrame, table: pa.Table, k, dimension, schema) -> DataFrame:
+    spark = vectors.sparkSession
     if not table.num_rows:
-        return queries.sparkSession.createDataFrame([], schema)
+        return spark.createDataFrame([], schema)
     names = table.column("query_id").combine_chunks()
-    block = queries.sparkSession.sparkContext.broadcast((names, _matrix(table.column("embedding"), dimension)))
+    block = spark.sparkContext.broadcast((names, _matrix(table.column("embedding"), dimension)))
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_names, matrix = block.value

@@ -1,7 +1,7 @@
 """Keyword index and BM25 ranking as DataFrame jobs.
 
-The index is three tables: ``postings(id, dl, term, tf)`` spread by ``id``,
-``terms(term, df)`` and the one-row ``corpus(n_docs, avg_dl)``.  Scoring joins
+The index is three tables: ``postings(parent_id, id, dl, term, tf)`` spread by
+``parent_id``, ``terms(term, df)`` and the one-row ``corpus(n_docs, avg_dl)``.  Scoring joins
 the query terms to the postings where they lie, so the scores of one document
 are added up without another shuffle and only the best of every task travel.
 """
@@ -48,47 +48,70 @@ class KeywordIndex:
 
 def corpus_stats(chunks: DataFrame, tokenizer: Tokenizer = tokens.words) -> DataFrame:
     """Number of documents with any token and their average length."""
-    lengths = chunks.select(F.size(tokenizer(F.col("contents"))).alias("dl")).filter(F.col("dl") > 0)
+    lengths = chunks.select("id", F.size(tokenizer(F.col("contents"))).alias("dl")).filter(F.col("dl") > 0)
+    # Counting ids instead of rows keeps the columns of the postings' shuffle,
+    # so that shuffle is shared.
     return lengths.agg(
-        F.count("*").alias("n_docs"), (F.sum("dl") / F.count("*")).alias("avg_dl")
+        F.count("id").alias("n_docs"), (F.sum("dl") / F.count("id")).alias("avg_dl")
     )
 
 
 def make_postings(
-    chunks: DataFrame, tokenizer: Tokenizer = tokens.words, vocabulary: DataFrame | None = None
+    chunks: DataFrame,
+    tokenizer: Tokenizer = tokens.words,
+    vocabulary: DataFrame | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Term counts per document, for all terms or those of a vocabulary.
+    """Term counts per chunk, for all terms or those of a vocabulary.
 
-    The texts are spread by id before they are cut up: one shuffle of the
-    texts, which are smaller than their postings, serves the count here and the
-    sum over terms in the search.
+    The chunks must be spread by ``parent_id``, as ``spread`` does: then the
+    counts here and the sums of the search need no further shuffle.  ``small``
+    tells what is known about the vocabulary; it is counted if nothing is.
     """
+    # The outer form keeps the optimiser from cutting every text twice, once
+    # only to see whether it has any token.
     found = (
-        chunks.select("id", "contents")
-        .repartition("id")
-        .select("id", tokenizer(F.col("contents")).alias("found"))
-        .select("id", F.size("found").alias("dl"), F.explode("found").alias("term"))
+        chunks.select("parent_id", "id", tokenizer(F.col("contents")).alias("found"))
+        .select("parent_id", "id", F.size("found").alias("dl"), F.explode_outer("found").alias("term"))
+        .filter(F.col("term").isNotNull())
     )
     if vocabulary is not None:
+        few = is_small(vocabulary) if small is None else small
         wanted = vocabulary.select("term").distinct()
-        found = found.join(F.broadcast(wanted) if is_small(wanted) else wanted, "term", "left_semi")
-    return found.groupBy("id", "dl", "term").agg(F.count("*").alias("tf"))
+        found = found.join(F.broadcast(wanted) if few else wanted, "term", "left_semi")
+    return found.groupBy("parent_id", "id", "dl", "term").agg(F.count("*").alias("tf"))
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count("*").alias("df"))
 
 
+def spread(chunks: DataFrame) -> DataFrame:
+    """Chunks ``(id, contents)`` placed by id, each its own parent.
+
+    Whole texts are shuffled once, before they are cut into tokens: they are
+    much smaller than their postings.
+    """
+    return chunks.select("id", "contents").repartition("id").select(
+        F.col("id").alias("parent_id"), "id", "contents"
+    )
+
+
 def build_index(
-    chunks: DataFrame, tokenizer: Tokenizer = tokens.words, vocabulary: DataFrame | None = None
+    chunks: DataFrame,
+    tokenizer: Tokenizer = tokens.words,
+    vocabulary: DataFrame | None = None,
+    small: bool | None = None,
 ) -> KeywordIndex:
     """Index of chunks ``(id, contents)``; lazy until searched or saved.
 
-    With a vocabulary only its terms are kept: enough, and much less, when the
-    index serves one batch of queries.
+    Chunks that carry a ``parent_id`` must already be spread by it.  With a
+    vocabulary only its terms are kept: enough, and much less, when the index
+    serves one batch of queries.
     """
-    postings = make_postings(chunks, tokenizer, vocabulary)
-    return KeywordIndex(postings, term_stats(postings), corpus_stats(chunks, tokenizer))
+    placed = chunks if "parent_id" in chunks.columns else spread(chunks)
+    postings = make_postings(placed, tokenizer, vocabulary, small)
+    return KeywordIndex(postings, term_stats(postings), corpus_stats(placed, tokenizer))
 
 
 def query_terms(queries: DataFrame, tokenizer: Tokenizer = tokens.words) -> DataFrame:
@@ -112,16 +135,21 @@ def score_documents(
     terms: DataFrame,
     k1: float = fixed.BM25_K1,
     b: float = fixed.BM25_B,
+    small: bool | None = None,
 ) -> DataFrame:
-    """BM25 score of every document that shares a term with a query."""
-    small = is_small(terms)
+    """BM25 score of every document that shares a term with a query.
+
+    Few query terms go to every task; many are joined by shuffling on the term,
+    where adaptive execution splits the hot ones.
+    """
+    small = is_small(terms) if small is None else small
     weighted = weigh_terms(terms, index)
     tf, relative = F.col("tf"), F.col("dl") / index.corpus.select("avg_dl").scalar()
     part = F.col("qtf") * F.col("idf") * tf / (tf + k1 * (1 - b + b * relative))
-    units = F.round(part / SCORE_UNIT).cast("long")
+    units = F.floor(part / SCORE_UNIT + 0.5)
     return (
         index.postings.join(F.broadcast(weighted) if small else weighted, "term")
-        .groupBy("query_id", "id")
+        .groupBy("parent_id", "query_id", "id")
         .agg(F.sum(units).alias("units"))
         .select("query_id", "id", (F.col("units") * SCORE_UNIT).alias("score"), "units")
     )
@@ -134,22 +162,15 @@ def bm25_search(
     k1: float = fixed.BM25_K1,
     b: float = fixed.BM25_B,
     tokenizer: Tokenizer = tokens.words,
+    small: bool | None = None,
 ) -> DataFrame:
     """The k best chunks per query; ties go to the lower id.
 
     ``id`` is the parent document of the chunk.  Several chunks of one parent
     may appear, as ranks are taken before the parent is looked up.
     """
-    scored = score_documents(index, query_terms(queries, tokenizer), k1, b)
+    scored = score_documents(index, query_terms(queries, tokenizer), k1, b, small)
     best = first_n(scored, ["query_id"], [F.desc("units"), F.asc("id")], k)
     return best.select(
         "query_id", "rank", parent_id(F.col("id")).alias("id"), F.col("id").alias("chunk_id"), "score"
     )
-
-
-def search_once(
-    chunks: DataFrame, queries: DataFrame, k: int = fixed.TOP_K, tokenizer: Tokenizer = tokens.words, **weights
-) -> DataFrame:
-    """Search without a stored index: only the query terms are counted."""
-    index = build_index(chunks, tokenizer, query_terms(queries, tokenizer))
-    return bm25_search(index, queries, k, tokenizer=tokenizer, **weights)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from sheetlake.functions import fixed, tokens
-from sheetlake.operators.bm25 import KeywordIndex, bm25_search
+from sheetlake.operators.bm25 import KeywordIndex, bm25_search, query_terms
 from sheetlake.operators.hybrid import assemble_prompt, hybrid_search
+from sheetlake.operators.sizes import is_small
 from sheetlake.operators.vectors import knn_l2
+from sheetlake.plans.index import index_documents
 
 
 def search(
@@ -23,6 +25,20 @@ def search(
     return hybrid_search(keyword, knn_l2(vectors, queries, k), docs)
 
 
+def search_documents(
+    docs: DataFrame,
+    queries: DataFrame,
+    k: int = fixed.TOP_K,
+    max_bytes: int = fixed.CHUNK_BYTES,
+    tokenizer=tokens.words,
+) -> DataFrame:
+    """Keyword hits straight from documents: only the query terms are indexed."""
+    terms = query_terms(queries, tokenizer)
+    small = is_small(terms)
+    index = index_documents(docs, max_bytes, tokenizer, terms, small)
+    return bm25_search(index, queries, k, tokenizer=tokenizer, small=small)
+
+
 def prompts(
     index: KeywordIndex, vectors: DataFrame, docs: DataFrame, queries: DataFrame, k: int = fixed.TOP_K
 ) -> DataFrame:

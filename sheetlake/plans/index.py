@@ -10,9 +10,21 @@ from sheetlake.operators.corpus import build_documents, chunk_docs, tokenize_doc
 from sheetlake.sources import files, sinks
 
 
-def index_documents(docs: DataFrame, max_bytes: int = fixed.CHUNK_BYTES, tokenizer=tokens.words) -> KeywordIndex:
-    """Tokenise, chunk and index documents ``(id, contents)``; lazy."""
-    return build_index(chunk_docs(tokenize_docs(docs, tokenizer), max_bytes), tokens.spaced)
+def index_documents(
+    docs: DataFrame,
+    max_bytes: int = fixed.CHUNK_BYTES,
+    tokenizer=tokens.words,
+    vocabulary: DataFrame | None = None,
+    small: bool | None = None,
+) -> KeywordIndex:
+    """Tokenise, chunk and index documents ``(id, contents)``; lazy.
+
+    One shuffle places the documents by id; tokens, chunks, term counts and the
+    scores of a later search are all made where the document lies.
+    """
+    placed = docs.select("id", "contents").repartition("id")
+    chunks = chunk_docs(tokenize_docs(placed, tokenizer), max_bytes)
+    return build_index(chunks, tokens.spaced, vocabulary, small)
 
 
 def build_search_index(

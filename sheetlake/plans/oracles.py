@@ -301,9 +301,9 @@ def chunks(limit: int) -> str:
     return f"""(WITH RECURSIVE docs AS MATERIALIZED (SELECT id, tokens,
           octet_length(encode(array_to_string(tokens, ' '))) AS total FROM {DOC_TOKENS}),
       tok AS MATERIALIZED (SELECT id, i, tokens[i] AS token,
-          sum({size} + 1) OVER (PARTITION BY id ORDER BY i) - {size} - 1 AS at
+          sum({size} + 1) OVER (PARTITION BY id ORDER BY i) - {size} - 1 AS place
         FROM (SELECT id, tokens, unnest(range(1, len(tokens) + 1)) AS i FROM docs WHERE total > {limit})),
-      spaces AS MATERIALIZED (SELECT id, any_value(total) AS total, list(CAST(at - 1 AS BIGINT)) AS offsets
+      spaces AS MATERIALIZED (SELECT id, any_value(total) AS total, list(CAST(place - 1 AS BIGINT)) AS offsets
         FROM tok JOIN docs USING (id) WHERE i > 1 GROUP BY id),
       cuts(id, n, start) AS (
         SELECT id, 0::BIGINT, 0::BIGINT FROM spaces
@@ -314,7 +314,7 @@ def chunks(limit: int) -> str:
       spans AS (SELECT id, n, start, lead(start, 1, 9000000000000) OVER (PARTITION BY id ORDER BY n) AS next FROM cuts)
     SELECT s.id || '_chunk_' || s.n AS id, s.id AS parent_id, CAST(s.n AS INT) AS chunk_no,
       string_agg(tok.token, ' ' ORDER BY tok.i) AS contents
-    FROM spans s JOIN tok ON tok.id = s.id AND tok.at >= s.start AND tok.at < s.next GROUP BY s.id, s.n
+    FROM spans s JOIN tok ON tok.id = s.id AND tok.place >= s.start AND tok.place < s.next GROUP BY s.id, s.n
     UNION ALL
     SELECT id, id, NULL, array_to_string(tokens, ' ') FROM docs WHERE total <= {limit})"""
 
@@ -331,10 +331,10 @@ def bm25(token_rows: str) -> str:
       q AS (SELECT query_id, term, count(*) AS qtf FROM
         (SELECT item_id AS query_id, unnest({words('text')}) AS term FROM benchmark) GROUP BY ALL),
       terms AS (SELECT term, count(*) AS df FROM post GROUP BY term),
-      scored AS (SELECT q.query_id, post.id, sum(CAST(round(
+      scored AS (SELECT q.query_id, post.id, sum(CAST(floor(
           q.qtf * ln(1 + (corpus.n - terms.df + 0.5) / (terms.df + 0.5))
           * post.tf / (post.tf + {fixed.BM25_K1}::DOUBLE * (1 - {fixed.BM25_B}::DOUBLE
-            + {fixed.BM25_B}::DOUBLE * (post.dl / corpus.avg_dl))) / 1e-12::DOUBLE) AS BIGINT)) AS units
+            + {fixed.BM25_B}::DOUBLE * (post.dl / corpus.avg_dl))) / 1e-12::DOUBLE + 0.5) AS BIGINT)) AS units
         FROM q JOIN terms USING (term) JOIN post USING (term) CROSS JOIN corpus GROUP BY ALL),
       ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY units DESC, id) AS rank FROM scored)
     SELECT query_id, CAST(rank AS INT) AS rank, split_part(id, '_chunk_', 1) AS id, id AS chunk_id,

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sheetlake.functions import tokens
+from sheetlake.functions import fixed
 from sheetlake.functions.text import calendar_year, file_safe_name, first_year, sheet_safe_name
-from sheetlake.operators import bm25, corpus, headers, hybrid, keys, longform, profile, separate, vectors
+from sheetlake.operators import corpus, headers, hybrid, keys, longform, profile, separate, vectors
 from sheetlake.plans import tables as t
+from sheetlake.plans.answer import search_documents
 from sheetlake.plans.index import index_documents
 from sheetlake.session import scratch_path
 from sheetlake.sources import catalog
@@ -310,7 +311,7 @@ def doc_preview(spark, folder):
 # --- retrieval -----------------------------------------------------------------
 @query
 def bm25_index(spark, folder):
-    return index_documents(t.documents(spark, folder)).postings
+    return index_documents(t.documents(spark, folder)).postings.drop("parent_id")
 
 
 @query
@@ -324,15 +325,8 @@ def bm25_corpus(spark, folder):
     return corpus_row.select("n_docs", F.round("avg_dl", 6).alias("avg_dl"))
 
 
-def _keyword_hits(spark, folder, max_bytes=None):
-    docs = corpus.tokenize_docs(t.documents(spark, folder))
-    chunks = corpus.chunk_docs(docs, *([max_bytes] if max_bytes else []))
-    index = bm25.build_index(chunks, tokens.spaced, bm25.query_terms(_queries(spark, folder)))
-    return bm25.bm25_search(index, _queries(spark, folder))
-
-
-def _queries(spark, folder):
-    return t.benchmark_queries(spark, folder)
+def _keyword_hits(spark, folder, max_bytes=fixed.CHUNK_BYTES):
+    return search_documents(t.documents(spark, folder), t.passages(spark, folder), max_bytes=max_bytes)
 
 
 @query
@@ -351,7 +345,7 @@ def vector_store_check(spark, folder):
 
 
 def _vector_hits(spark, folder):
-    return vectors.knn_l2(t.vectors(spark, folder), _queries(spark, folder))
+    return vectors.knn_l2(t.vectors(spark, folder), t.passage_vectors(spark, folder))
 
 
 @query
@@ -377,7 +371,7 @@ def answer_preview(spark, folder):
 
 @query
 def assemble_prompt(spark, folder):
-    return hybrid.assemble_prompt(_queries(spark, folder), _hybrid(spark, folder))
+    return hybrid.assemble_prompt(t.passages(spark, folder), _hybrid(spark, folder))
 
 
 # --- streaming -----------------------------------------------------------------

@@ -161,8 +161,13 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select(F.col("vec_id").cast("string").alias("id"), "embedding")
 
 
-def benchmark_queries(spark: SparkSession, folder: str) -> DataFrame:
-    """Benchmark passages as queries, with the vector of the same number."""
-    passages = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+def passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark passages as keyword queries."""
+    return table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+
+def passage_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The vector of the same number for every passage that has one."""
+    asked = passages(spark, folder).select("query_id")
     embedded = table(spark, folder, "embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
-    return passages.join(embedded, "query_id", "left")
+    return asked.join(embedded, "query_id")

@@ -4,36 +4,51 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sheetlake.functions import fixed
 
 
-def header_path(
-    name: Column,
+def with_header_path(
+    frame: DataFrame,
+    name: str = "original_column_name",
     separator: str = fixed.PATH_SEPARATOR,
     payee_suffix: str = fixed.PAYEE_SUFFIX,
     group_marker: str = fixed.GROUP_MARKER,
-) -> dict[str, Column]:
-    """Columns ``concept, block, item_index, detail`` of one header name.
+) -> DataFrame:
+    """Add ``concept, block, item_index, detail`` parsed from a header name.
 
     Two shapes carry an index: ``concept-<x><suffix>-index-detail...`` and
     ``concept-<marker>-detail-index``.  Any other name keeps itself as detail.
+
+    Parts and shape are columns of their own, so that the name is cut once per
+    row and not once per use.
     """
-    parts = F.split(name, re.escape(separator))
-    second, third, fourth = (F.get(parts, F.lit(i)) for i in (1, 2, 3))
+    parts = F.col("_parts")
+
+    def part(i: int) -> Column:
+        return F.get(parts, F.lit(i))
 
-    payee = F.coalesce(F.endswith(second, F.lit(payee_suffix)), F.lit(False))
-    group = F.coalesce(second == group_marker, F.lit(False))
-    payee_item = payee & F.coalesce(third.rlike(r"\A[0-9]+\z"), F.lit(False))
-    group_item = group & F.coalesce(fourth.rlike(r"\A[0-9]+\z"), F.lit(False))
+    def is_index(text: Column) -> Column:
+        return F.coalesce(text.rlike("\\A[0-9]+\\z"), F.lit(False))
 
+    second = part(1)
+    shape = F.when(F.endswith(second, F.lit(payee_suffix)), "payee").when(second == group_marker, "group")
+    index = F.when(F.col("_shape") == "payee", part(2)).when(F.col("_shape") == "group", part(3))
     tail = F.slice(parts, F.lit(4), F.greatest(F.size(parts) - 3, F.lit(0)))
-    return {
-        "concept": F.get(parts, F.lit(0)),
-        "block": F.when(payee | group, second),
-        "item_index": F.when(payee_item, third).when(group_item, fourth),
-        "detail": F.when(payee_item, F.array_join(tail, separator))
-        .when(group_item, third)
-        .otherwise(name),
-    }
+    numbered = F.col("item_index").isNotNull()
+    return (
+        frame.withColumn("_parts", F.split(name, re.escape(separator)))
+        .withColumn("_shape", shape)
+        .withColumn("item_index", F.when(is_index(index), index))
+        .withColumns(
+            {
+                "concept": part(0),
+                "block": F.when(F.col("_shape").isNotNull(), second),
+                "detail": F.when(numbered & (F.col("_shape") == "payee"), F.array_join(tail, separator))
+                .when(numbered, part(2))
+                .otherwise(F.col(name)),
+            }
+        )
+        .drop("_parts", "_shape")
+    )

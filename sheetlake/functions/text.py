@@ -16,8 +16,13 @@ _NON_SPACE = r"(?U)[^\s\x1C-\x1F]"
 
 
 def is_filled(value: Column) -> Column:
-    """True when the text holds at least one non-space character."""
-    return F.coalesce(value.rlike(_NON_SPACE), F.lit(False))
+    """True when the text holds at least one non-space character.
+
+    Most texts start with a visible ASCII character, which settles the question
+    without a regular expression.
+    """
+    plain_start = F.ascii(value).between(33, 126)
+    return F.coalesce(plain_start | value.rlike(_NON_SPACE), F.lit(False))
 
 
 def is_blank(value: Column) -> Column:
@@ -55,7 +60,7 @@ def count_separators(name: Column, separator: str = fixed.PATH_SEPARATOR) -> Col
 
 def drop_na_tokens(value: Column, tokens: Sequence[str] = fixed.NA_TOKENS) -> Column:
     """Null for cells whose whole text is one of the missing-value tokens."""
-    return F.when(~value.isin(list(tokens)), value)
+    return F.when(~F.array_contains(F.lit(list(tokens)), value), value)
 
 
 def first_year(source: Column) -> Column:

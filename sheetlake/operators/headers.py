@@ -107,29 +107,20 @@ def header_types(headers: DataFrame) -> DataFrame:
     """Groups of sources with equal column count and total header length.
 
     A group is consistent when all its sources carry the same names in the same
-    places: at every position there is one name, and as many rows as sources.
+    places: then every place and name occurs once in each source.
     """
     signed = signatures(headers)
     key = ["column_count", "total_length"]
     groups = signed.groupBy(*key).agg(F.count("*").alias("n_sources"))
-
-    places = (
-        headers.select("source", "pos", "name")
-        .join(signed, "source")
-        .groupBy(*key, "pos")
-        .agg(F.min("name").alias("lowest"), F.max("name").alias("highest"), F.count("*").alias("n"))
+    fewest = (
+        headers.join(signed, "source")
+        .groupBy(*key, "pos", "name")
+        .agg(F.count("*").alias("n"))
         .groupBy(*key)
-        .agg(
-            F.min(F.col("lowest") == F.col("highest")).alias("one_name"),
-            F.min("n").alias("fewest"),
-        )
+        .agg(F.min("n").alias("fewest"))
     )
-    numbered = _number_types(groups)
-    return numbered.join(places, key).select(
-        "type_no",
-        *key,
-        "n_sources",
-        (F.col("one_name") & (F.col("fewest") == F.col("n_sources"))).alias("consistent"),
+    return _number_types(groups).join(fewest, key).select(
+        "type_no", *key, "n_sources", (F.col("fewest") == F.col("n_sources")).alias("consistent")
     )
 
 

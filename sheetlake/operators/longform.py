@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from sheetlake.functions import fixed
-from sheetlake.functions.headerpath import header_path
+from sheetlake.functions.headerpath import with_header_path
 from sheetlake.functions.text import clean_cell, composite_id, first_year, is_filled
 from sheetlake.sources.catalog import Source, union_sources
 
@@ -70,16 +70,11 @@ def with_business_id(frame: DataFrame, id_parts: Sequence[str] = fixed.ID_PARTS)
     return frame.withColumn("business_id", composite_id(parts))
 
 
-def parse_headers(long: DataFrame) -> DataFrame:
-    """Add ``concept, block, item_index, detail`` parsed from the column name."""
-    return long.withColumns(header_path(F.col("original_column_name")))
-
-
 def clean_long_data(long: DataFrame, id_parts: Sequence[str] = fixed.ID_PARTS) -> DataFrame:
     """Long rows of any sources to the eight text columns of the clean table."""
     filled = with_business_id(long.filter(is_filled(F.col("value"))), id_parts)
     return (
-        parse_headers(filled)
+        with_header_path(filled)
         .withColumn("year", first_year(F.col("source")))
         .select(*CLEAN_COLUMNS)
     )

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from sheetlake.functions import fixed
-from sheetlake.functions.text import digits_to_int, drop_na_tokens, is_filled
+from sheetlake.functions.text import digits_to_int, is_filled
 from sheetlake.sources.catalog import Source, union_sources
 
 
@@ -50,38 +50,36 @@ def separate_children(
             group = items.setdefault((block if keep_block else "", index), {})
             group.setdefault(attributes[attribute], []).append(position)
 
-    def filled(position: int):
-        cell = drop_na_tokens(F.col(f"c{position}"), na_tokens)
-        return F.when(is_filled(cell), cell)
-
-    def attribute(group: dict[str, list[int]], name: str):
-        values = [filled(p) for p in reversed(group.get(name, []))]
-        return (F.coalesce(*values) if values else F.lit(None).cast("string")).alias(name)
-
     names = list(attributes.values())
     kind = "array<struct<block:string,expenditure_index:int,{}>>".format(
-        ",".join(f"{n}:string" for n in names)
+        ",".join(f"{n}:array<string>" for n in names)
     )
     structs = [
         F.struct(
             F.lit(block).alias("block"),
             digits_to_int(F.lit(index)).alias("expenditure_index"),
-            *[attribute(group, n) for n in names],
+            *[F.array(*[F.col(f"c{p}") for p in reversed(group.get(n, []))]).alias(n) for n in names],
         )
         for (block, index), group in items.items()
     ]
-    item = F.explode(F.array(*structs).cast(kind)).alias("item")
-    rows = source.frame.filter(is_filled(drop_na_tokens(key, na_tokens)))
-    children = rows.select(key.alias("project_id"), item).filter(
-        F.coalesce(*[F.col(f"item.{n}") for n in names]).isNotNull()
+
+    def filled(cell):
+        return is_filled(cell) & ~F.array_contains(missing, cell)
+
+    missing = F.lit(list(na_tokens))
+    # The cells of an item are exploded as they are and looked at afterwards:
+    # the plan then grows with the attributes, not with the columns.
+    items_of_row = source.frame.filter(filled(key)).select(
+        key.alias("project_id"), F.inline(F.array(*structs).cast(kind))
     )
-    block = [F.col("item.block").alias("block")] if keep_block else []
+    last_filled = {n: F.get(F.filter(F.col(n), filled), F.lit(0)) for n in names}
+    children = items_of_row.withColumns(last_filled).filter(F.coalesce(*names).isNotNull())
     return children.select(
         F.lit(source.name).alias("source"),
         "project_id",
-        *block,
-        "item.expenditure_index",
-        *[f"item.{n}" for n in names],
+        *(["block"] if keep_block else []),
+        "expenditure_index",
+        *names,
     )
 
 

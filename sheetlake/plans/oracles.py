@@ -266,8 +266,8 @@ def metadata() -> str:
 def children(by_block: bool) -> str:
     block = "CASE WHEN l_returnflag = 'R' THEN 'B' ELSE 'A' END"
     per_block = f"""(SELECT l_orderkey, {block} AS block, l_linenumber,
-        max(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)) AS amount,
-        max(CAST(l_suppkey AS VARCHAR)) AS supplier, max(CAST(l_partkey AS VARCHAR)) AS number
+        CAST(CAST(max(l_extendedprice) AS DECIMAL(18,2)) AS VARCHAR) AS amount,
+        CAST(max(l_suppkey) AS VARCHAR) AS supplier, CAST(max(l_partkey) AS VARCHAR) AS number
       FROM lineitem GROUP BY ALL)"""
     picked = "{0}" if by_block else "arg_max({0}, block)"
     columns = ", ".join(

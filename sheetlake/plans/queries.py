@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sheetlake.functions import fixed
+from sheetlake.functions.headerpath import with_header_path
 from sheetlake.functions.text import calendar_year, file_safe_name, first_year, sheet_safe_name
 from sheetlake.operators import corpus, headers, hybrid, keys, longform, profile, separate, vectors
 from sheetlake.plans import tables as t
@@ -59,7 +60,7 @@ def composite_id(spark, folder):
 
 @query
 def parse_header_path(spark, folder):
-    return longform.parse_headers(t.long_lineitem(spark, folder)).select(
+    return with_header_path(t.long_lineitem(spark, folder)).select(
         "original_column_name", "concept", "block", "item_index", "detail"
     )
 

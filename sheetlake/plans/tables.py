@@ -65,6 +65,14 @@ def orders_with_year(spark: SparkSession, folder: str) -> Source:
     return Source(ORDERS_FILE, frame.select(F.col("o_orderkey").alias("row_no"), *texts), tuple(frame.columns))
 
 
+def pick(number: Column, choices: list[Column]) -> Column:
+    """The choice of the given number, counted from one."""
+    chain = F.when(number == 1, choices[0])
+    for i, choice in enumerate(choices[1:], start=2):
+        chain = chain.when(number == i, choice)
+    return chain
+
+
 def document_headers(spark: SparkSession, folder: str, source: str = "source") -> DataFrame:
     """Document texts as header names, the document's source as their file."""
     return table(spark, folder, "documents").select(
@@ -74,7 +82,8 @@ def document_headers(spark: SparkSession, folder: str, source: str = "source") -
 
 def order_headers(spark: SparkSession, folder: str) -> DataFrame:
     """Every order as a file, its line numbers as columns."""
-    flag = F.concat_ws("-", F.max("l_returnflag"), F.max("l_quantity").cast("int").cast("string"))
+    # Numbers keep the aggregate on hash tables; text would have to be sorted.
+    flag = F.concat_ws("-", F.char(F.max(F.ascii("l_returnflag"))), F.max("l_quantity").cast("int").cast("string"))
     return (
         table(spark, folder, "lineitem")
         .groupBy("l_orderkey", "l_linenumber")
@@ -94,9 +103,9 @@ def amount_headers(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("予算-支出額-"), F.col("l_suppkey"), F.lit("執行額")),
         F.concat(F.lit("支出"), F.col("l_suppkey")),
     ]
-    name = F.element_at(F.array(*kinds), F.col("l_linenumber"))
+    name = pick(F.col("l_linenumber"), kinds)
     return table(spark, folder, "lineitem").select(
-        F.date_format("l_shipdate", "yyyy").alias("source"), F.col("l_linenumber").alias("pos"), name.alias("name")
+        F.year("l_shipdate").cast("string").alias("source"), F.col("l_linenumber").alias("pos"), name.alias("name")
     )
 
 
@@ -114,9 +123,9 @@ def long_lineitem(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("事業名"), F.col("l_linestatus")),
     ]
     return table(spark, folder, "lineitem").select(
-        F.concat(F.lit("database"), F.date_format("l_shipdate", "yyyy"), F.lit(".csv")).alias("source"),
+        F.concat(F.lit("database"), F.year("l_shipdate").cast("string"), F.lit(".csv")).alias("source"),
         F.col("l_orderkey").cast("string").alias(fixed.ID_PARTS[0]),
-        F.element_at(F.array(*shapes), F.col("l_linenumber")).alias("original_column_name"),
+        pick(F.col("l_linenumber"), shapes).alias("original_column_name"),
         as_text(F.col("l_extendedprice"), "double").alias("value"),
     )
 
@@ -128,25 +137,26 @@ def wide_lineitem(spark: SparkSession, folder: str) -> Source:
     """
     block = F.when(F.col("l_returnflag") == "R", "B").otherwise("A")
     fields = {
-        "支出額（百万円）": as_text(F.col("l_extendedprice"), "double"),
-        "支出先": F.col("l_suppkey").cast("string"),
-        "法人番号": F.col("l_partkey").cast("string"),
-        "落札率": as_text(F.col("l_discount"), "double"),
+        "支出額（百万円）": ("l_extendedprice", "double"),
+        "支出先": ("l_suppkey", "bigint"),
+        "法人番号": ("l_partkey", "bigint"),
+        "落札率": ("l_discount", "double"),
     }
-    names, cells = ["l_orderkey", "n_lines"], []
+    names, highest, texts = ["l_orderkey", "n_lines"], [], []
     for letter in ("A", "B"):
         for number in range(1, 8):
             here = (block == letter) & (F.col("l_linenumber") == number)
-            for attribute, value in fields.items():
-                cells.append(F.max(F.when(here, value)))
+            for attribute, (column, kind) in fields.items():
+                place = f"c{len(names)}"
+                highest.append(F.max(F.when(here, F.col(column))).alias(place))
+                texts.append(as_text(F.col(place), kind).alias(place))
                 names.append(f"支出先上位10者リスト-{letter}.支払先-{number}-{attribute}")
-    wide = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
-        F.count("*").cast("string").alias("c1"), *[c.alias(f"c{i}") for i, c in enumerate(cells, start=2)]
-    )
+    wide = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("c1"), *highest)
     keyed = wide.select(
         F.col("l_orderkey").alias("row_no"),
         F.col("l_orderkey").cast("string").alias("c0"),
-        *[f"c{i}" for i in range(1, len(names))],
+        F.col("c1").cast("string").alias("c1"),
+        *texts,
     )
     return Source("lineitem.csv", keyed, tuple(names))
 

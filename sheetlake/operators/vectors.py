@@ -115,7 +115,8 @@ def knn_l2(vectors: DataFrame, queries: DataFrame, k: int = fixed.TOP_K) -> Data
     kinds = dict(queries.dtypes)["query_id"], dict(vectors.dtypes)["id"]
     schema = f"query_id {kinds[0]}, id {kinds[1]}, distance double"
     if first is None:
-        return queries.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
+        empty = f"query_id {kinds[0]}, rank int, id {kinds[1]}, distance double"
+        return queries.sparkSession.createDataFrame([], empty)
     dimension = first.d
     usable = vector_table(vectors, dimension)
     asked = vector_table(queries.withColumnRenamed("query_id", "id"), dimension).withColumnRenamed(

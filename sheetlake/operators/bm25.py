@@ -56,6 +56,15 @@ def corpus_stats(chunks: DataFrame, tokenizer: Tokenizer = tokens.words) -> Data
     )
 
 
+def _only(found: DataFrame, vocabulary: DataFrame | None, small: bool | None) -> DataFrame:
+    """Rows whose term is in the vocabulary; all rows without one."""
+    if vocabulary is None:
+        return found
+    few = is_small(vocabulary) if small is None else small
+    wanted = vocabulary.select("term").distinct()
+    return found.join(F.broadcast(wanted) if few else wanted, "term", "left_semi")
+
+
 def make_postings(
     chunks: DataFrame,
     tokenizer: Tokenizer = tokens.words,
@@ -75,17 +84,29 @@ def make_postings(
         .select("parent_id", "id", F.size("found").alias("dl"), F.explode_outer("found").alias("term"))
         .filter(F.col("term").isNotNull())
     )
-    if vocabulary is not None:
-        few = is_small(vocabulary) if small is None else small
-        wanted = vocabulary.select("term").distinct()
-        found = found.join(F.broadcast(wanted) if few else wanted, "term", "left_semi")
-    return found.groupBy("parent_id", "id", "dl", "term").agg(F.count("*").alias("tf"))
+    return _only(found, vocabulary, small).groupBy("parent_id", "id", "dl", "term").agg(F.count("*").alias("tf"))
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
+    """In how many chunks each term occurs, from stored postings."""
     return postings.groupBy("term").agg(F.count("*").alias("df"))
 
 
+def document_frequencies(
+    chunks: DataFrame,
+    tokenizer: Tokenizer = tokens.words,
+    vocabulary: DataFrame | None = None,
+    small: bool | None = None,
+) -> DataFrame:
+    """The same from the chunks: distinct terms of a text need no grouping by text."""
+    distinct = F.array_distinct(tokenizer(F.col("contents")))
+    found = chunks.select("id", distinct.alias("found")).select(
+        "id", F.explode_outer("found").alias("term")
+    ).filter(F.col("term").isNotNull())
+    # Ids are counted for the same reason as in corpus_stats.
+    return _only(found, vocabulary, small).groupBy("term").agg(F.count("id").alias("df"))
+
+
 def spread(chunks: DataFrame) -> DataFrame:
     """Chunks ``(id, contents)`` placed by id, each its own parent.
 
@@ -110,8 +131,13 @@ def build_index(
     serves one batch of queries.
     """
     placed = chunks if "parent_id" in chunks.columns else spread(chunks)
-    postings = make_postings(placed, tokenizer, vocabulary, small)
-    return KeywordIndex(postings, term_stats(postings), corpus_stats(placed, tokenizer))
+    if vocabulary is not None and small is None:
+        small = is_small(vocabulary)
+    return KeywordIndex(
+        make_postings(placed, tokenizer, vocabulary, small),
+        document_frequencies(placed, tokenizer, vocabulary, small),
+        corpus_stats(placed, tokenizer),
+    )
 
 
 def query_terms(queries: DataFrame, tokenizer: Tokenizer = tokens.words) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sheetlake.functions import fixed, tokens
 from sheetlake.functions.text import preview, strip
+from sheetlake.operators.ordered import running_total
+from sheetlake.operators.sizes import is_small
+from sheetlake.session import shared_folder
 
 
 def document_pairs(clean: DataFrame) -> DataFrame:
@@ -21,21 +24,59 @@ def document_pairs(clean: DataFrame) -> DataFrame:
     )
 
 
+def _assemble(pairs: DataFrame, keys: Sequence[str], separator: str) -> DataFrame:
+    """Texts of each group in order of column name and value.
+
+    Rows are brought together once and collected there, so no half-built lists
+    are shuffled.
+    """
+    entry = F.when(F.col("text").isNotNull(), F.struct("original_column_name", "value", "text"))
+    ordered = F.array_sort(F.collect_list(entry))
+    return (
+        pairs.repartition(*keys)
+        .groupBy(*keys)
+        .agg(F.array_join(ordered["text"], separator).alias("contents"))
+    )
+
+
 def build_documents(clean: DataFrame, separator: str = fixed.PAIR_SEPARATOR) -> DataFrame:
     """One document ``(id, contents)`` per year and business id.
 
-    Pairs follow the order of column name and value.  Rows are brought together
-    once by id and collected there, so no half-built lists are shuffled.  A
-    document is one row: records too long for that go through
-    ``build_document_parts``.
+    A document is one row and is put together in one task.  Where a record may
+    be too long for that, ``build_document_parts`` makes the same texts in
+    pieces.
+    """
+    return _assemble(document_pairs(clean), ["id"], separator)
+
+
+def build_document_parts(
+    clean: DataFrame, max_bytes: int = fixed.CHUNK_BYTES, separator: str = fixed.PAIR_SEPARATOR
+) -> DataFrame:
+    """Documents, those beyond ``max_bytes`` as parts that are never held whole.
+
+    ``(id, parent_id, contents)``: a part holds the pairs that start inside its
+    stretch of ``max_bytes`` bytes and is named like a chunk, so parts can be
+    indexed in place of chunks.  One record may hold any share of all rows.
     """
-    pairs = document_pairs(clean).repartition("id")
-    ordered = F.array_sort(
-        F.collect_list(
-            F.when(F.col("text").isNotNull(), F.struct("original_column_name", "value", "text"))
-        )
+    size = F.octet_length("text") + len(separator.encode())
+    pairs = document_pairs(clean)
+    sizes = pairs.groupBy("id").agg(F.sum(size).alias("bytes"))
+    # Needed by three steps below, so it is written once to the shared folder.
+    shared_folder(clean.sparkSession)
+    long_ids = sizes.filter(F.col("bytes") > max_bytes).select("id").checkpoint()
+    if is_small(long_ids):
+        long_ids = F.broadcast(long_ids)
+    whole = _assemble(pairs.join(long_ids, "id", "left_anti"), ["id"], separator)
+
+    texts = pairs.join(long_ids, "id", "left_semi").filter(F.col("text").isNotNull())
+    placed = running_total(texts, ["id"], ["original_column_name", "value"], size, "end")
+    start = F.col("end") - size
+    numbered = placed.withColumn("part_no", F.floor(start / max_bytes))
+    parts = _assemble(numbered, ["id", "part_no"], separator)
+    name = F.concat("id", F.lit(fixed.CHUNK_MARK), F.col("part_no").cast("string"))
+    return whole.select("id", F.col("id").alias("parent_id"), "contents").unionAll(
+        parts.select(name.alias("id"), F.col("id").alias("parent_id"), "contents")
     )
-    return pairs.groupBy("id").agg(F.array_join(ordered["text"], separator).alias("contents"))
 
 
 def tokenize_docs(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from sheetlake.functions import fixed
 from sheetlake.functions.text import preview
-from sheetlake.operators.sizes import is_small
+from sheetlake.operators.sizes import MAX_ROWS, is_small
 
 KEYWORD_LEG, VECTOR_LEG = 0, 1
 
@@ -30,24 +30,29 @@ def merge_hits(keyword: DataFrame, vector: DataFrame) -> DataFrame:
     )
 
 
-def with_contents(hits: DataFrame, docs: DataFrame, small: bool | None = None) -> DataFrame:
+def few_hits(queries: DataFrame, k: int = fixed.TOP_K) -> bool:
+    """Whether a batch is so small that its hits, 2k per query, stay few.
+
+    Looks at the queries only, so nothing is searched to find out.
+    """
+    return is_small(queries.select("query_id"), MAX_ROWS // (2 * k))
+
+
+def with_contents(hits: DataFrame, docs: DataFrame, few: bool = False) -> DataFrame:
     """Hits with the contents of their document, empty text if there is none.
 
-    The documents are read once and met by the distinct hit ids; only texts
-    that were hit leave the scan when the hits are few.  ``small`` tells what
-    is known about the number of hits; it is counted if nothing is.
+    The documents are read once and met by the distinct hit ids.  When the hits
+    are known to be few those ids go to every task, and only texts that were
+    hit leave the scan; otherwise both sides are shuffled by id.
     """
     wanted = hits.select("id").distinct()
-    few = is_small(wanted) if small is None else small
     found = docs.select("id", "contents").join(F.broadcast(wanted) if few else wanted, "id")
     return hits.join(found, "id", "left").withColumn("contents", F.coalesce("contents", F.lit("")))
 
 
-def hybrid_search(
-    keyword: DataFrame, vector: DataFrame, docs: DataFrame, small: bool | None = None
-) -> DataFrame:
+def hybrid_search(keyword: DataFrame, vector: DataFrame, docs: DataFrame, few: bool = False) -> DataFrame:
     """Merged hits with contents, at most 2k per query."""
-    return with_contents(merge_hits(keyword, vector), docs, small).select(
+    return with_contents(merge_hits(keyword, vector), docs, few).select(
         "query_id", "position", "id", "leg", "rank", "contents"
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from sheetlake.functions import fixed, tokens
 from sheetlake.operators.bm25 import KeywordIndex, bm25_search, query_terms
-from sheetlake.operators.hybrid import assemble_prompt, hybrid_search
+from sheetlake.operators.hybrid import assemble_prompt, few_hits, hybrid_search
 from sheetlake.operators.sizes import is_small
 from sheetlake.operators.vectors import knn_l2
 from sheetlake.plans.index import index_documents
@@ -22,7 +22,7 @@ def search(
 ) -> DataFrame:
     """Merged hits of a batch of queries ``(query_id, text, embedding)``."""
     keyword = bm25_search(index, queries, k, tokenizer=tokenizer)
-    return hybrid_search(keyword, knn_l2(vectors, queries, k), docs)
+    return hybrid_search(keyword, knn_l2(vectors, queries, k), docs, few_hits(queries, k))
 
 
 def search_documents(

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from sheetlake.functions import fixed
 from sheetlake.plans import tables as t
-from sheetlake.plans.queries import CHUNK_BYTES, KEY_SOURCES, LENGTH_SOURCES, TYPE_SOURCES
+from sheetlake.plans.queries import CHUNK_BYTES, KEY_SOURCES, LENGTH_SOURCES, PART_BYTES, TYPE_SOURCES
 
 COLUMNS = {
     "customer": {"c_custkey": "", "c_name": "", "c_nationkey": "", "c_acctbal": "double", "c_mktsegment": ""},
@@ -109,6 +109,16 @@ CLEAN = f"""(SELECT regexp_extract(source, '([0-9]{{4}})', 1) AS year, k1 || '--
   FROM {PARSED} WHERE value IS NOT NULL AND trim(value) != '')"""
 
 
+DOCUMENT_PARTS = f"""(WITH pairs AS (SELECT year(o_orderdate) || '-' || o_orderpriority || '--' AS id,
+      '注文-' || o_orderstatus AS name, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS value FROM orders),
+    sized AS (SELECT *, name || ': ' || value AS text, octet_length(encode(name || ': ' || value)) + 4 AS size FROM pairs),
+    placed AS (SELECT *, sum(size) OVER (PARTITION BY id) AS total,
+      sum(size) OVER (PARTITION BY id ORDER BY name, value ROWS UNBOUNDED PRECEDING) - size AS start FROM sized)
+  SELECT CASE WHEN total > {PART_BYTES} THEN id || '_chunk_' || CAST(start // {PART_BYTES} AS BIGINT) ELSE id END AS id,
+    id AS parent_id, string_agg(text, '。 ' ORDER BY name, value) AS contents
+  FROM placed GROUP BY 1, 2)"""
+
+
 # --- lengths and types -----------------------------------------------------------
 def bin_case(length: str, labels: bool) -> str:
     whens = []
@@ -468,6 +478,7 @@ def all_sql() -> dict[str, str]:
         "build_documents": f"""SELECT year || '-' || business_id AS id,
             string_agg(detail || ': ' || value, '。 ' ORDER BY original_column_name, value) AS contents
             FROM {CLEAN} GROUP BY year, business_id""",
+        "build_document_parts": f"SELECT * FROM {DOCUMENT_PARTS}",
         "tokenize_docs": f"SELECT id, array_to_string(tokens, ' ') AS contents FROM {DOC_TOKENS}",
         "chunk_docs": f"SELECT * FROM {chunks(CHUNK_BYTES)}",
         "corpus_check": corpus_samples(),

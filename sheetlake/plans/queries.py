@@ -19,6 +19,7 @@ from sheetlake.streaming.unpivot import stream_files, unpivot_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 CHUNK_BYTES = 2_000
+PART_BYTES = 2_000
 _REGISTRY: dict[str, Query] = {}
 
 
@@ -289,6 +290,11 @@ def build_documents(spark, folder):
     return corpus.build_documents(longform.clean_long_data(t.long_lineitem(spark, folder)))
 
 
+@query
+def build_document_parts(spark, folder):
+    return corpus.build_document_parts(longform.clean_long_data(t.long_by_order_priority(spark, folder)), PART_BYTES)
+
+
 @query
 def tokenize_docs(spark, folder):
     return corpus.tokenize_docs(t.documents(spark, folder))
@@ -356,7 +362,10 @@ def knn_l2(spark, folder):
 
 def _hybrid(spark, folder):
     return hybrid.hybrid_search(
-        _keyword_hits(spark, folder), _vector_hits(spark, folder), t.documents(spark, folder)
+        _keyword_hits(spark, folder),
+        _vector_hits(spark, folder),
+        t.documents(spark, folder),
+        hybrid.few_hits(t.passages(spark, folder)),
     )
 
 

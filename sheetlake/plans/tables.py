@@ -130,6 +130,16 @@ def long_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def long_by_order_priority(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as long rows of few, very long records: one per year and priority."""
+    return table(spark, folder, "orders").select(
+        F.concat(F.lit("database"), F.year("o_orderdate").cast("string"), F.lit(".csv")).alias("source"),
+        F.col("o_orderpriority").alias(fixed.ID_PARTS[0]),
+        F.concat(F.lit("注文-"), F.col("o_orderstatus")).alias("original_column_name"),
+        as_text(F.col("o_totalprice"), "double").alias("value"),
+    )
+
+
 def wide_lineitem(spark: SparkSession, folder: str) -> Source:
     """One row per order with repeated columns per line number.
 

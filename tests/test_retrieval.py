@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sheetlake.functions import fixed, tokens
 from sheetlake.operators import bm25, corpus, hybrid, sizes, vectors
+from sheetlake.operators.ordered import running_total
 from sheetlake.plans import answer
 from sheetlake.plans.index import index_documents
 
@@ -30,6 +31,35 @@ def test_build_documents(spark):
     assert docs == {"2014-1-2-3": "額: 4。 額: 5。 名: 橋", "2015-1-2-3": ": x"}
 
 
+@pytest.mark.parametrize("limit", [10, 64, 1000])
+def test_document_parts_of_a_hot_record(spark, limit):
+    rows = spark.range(600).selectExpr(
+        "'2014' AS year", "IF(id % 3 = 0, 'hot', string(id % 40)) AS business_id", "'c' AS concept",
+        "string(null) AS block", "string(null) AS item_index", "IF(id = 7, null, 'd') AS detail",
+        "IF(id % 2 = 0, 'same', string(id)) AS value", "string(id % 4) AS original_column_name",
+    )
+    whole = {r.id: r.contents for r in corpus.build_documents(rows).collect()}
+    parts = {}
+    for r in corpus.build_document_parts(rows, limit).collect():
+        number = int(r.id.split("_chunk_")[1]) if "_chunk_" in r.id else 0
+        parts.setdefault(r.parent_id, {})[number] = r.contents
+        assert len(r.contents.encode()) <= limit + 16
+    assert {i: "。 ".join(p[n] for n in sorted(p)) for i, p in parts.items()} == whole
+    assert limit > 100 or len(parts["2014-hot"]) > 10
+
+
+def test_running_total_is_exact(spark):
+    frame = spark.range(1000).selectExpr("IF(id % 3 = 0, 'hot', 'cold') AS k", "id % 7 AS o", "id + 1 AS n")
+    rows = running_total(frame, ["k"], ["o"], F.col("n")).collect()
+    for key in ("hot", "cold"):
+        mine = sorted((r.total, r.o, r.n) for r in rows if r.k == key)
+        assert [o for _, o, _ in mine] == sorted(o for _, o, _ in mine)
+        total = 0
+        for got, _, n in mine:
+            total += n
+            assert got == total
+
+
 def greedy_chunks(contents: str, limit: int) -> list[str]:
     """Brute force on bytes, one cut after the other."""
     raw, pieces, start = contents.encode(), [], 0
@@ -218,8 +248,8 @@ def test_merge_contents_and_prompt(spark):
     keyword = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 3, "a")], "query_id BIGINT, rank INT, id STRING")
     vector = spark.createDataFrame([(1, 1, "b"), (1, 2, "c"), (2, 1, "a")], "query_id BIGINT, rank INT, id STRING")
     docs = spark.createDataFrame([("a", "A"), ("b", "B{query}")], "id STRING, contents STRING")
-    for small in (True, False, None):
-        hits = hybrid.hybrid_search(keyword, vector, docs, small)
+    for few in (True, False):
+        hits = hybrid.hybrid_search(keyword, vector, docs, few)
         rows = sorted((r.query_id, r.position, r.id, r.leg, r.rank, r.contents) for r in hits.collect())
         assert rows == [
             (1, 1, "a", "keyword", 1, "A"), (1, 2, "b", "keyword", 2, "B{query}"), (1, 3, "c", "vector", 2, ""),
@@ -243,6 +273,13 @@ def test_whole_answer(spark, docs):
     assert "blue fish" in answer.prompts(index, store, docs, queries, 2).head().prompt
 
 
+def test_few_hits(spark, monkeypatch):
+    queries = spark.range(3).withColumnRenamed("id", "query_id")
+    assert hybrid.few_hits(queries, 5)
+    monkeypatch.setattr(hybrid, "MAX_ROWS", 20)
+    assert not hybrid.few_hits(queries, 5)
+
+
 def test_size_check_looks_at_few_rows(spark):
     assert sizes.is_small(spark.range(10), 10) and not sizes.is_small(spark.range(11), 10)
     wide = spark.range(10).select(F.repeat(F.lit("x"), 100).alias("t"))

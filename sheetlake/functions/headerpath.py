@@ -21,34 +21,30 @@ def with_header_path(
     Two shapes carry an index: ``concept-<x><suffix>-index-detail...`` and
     ``concept-<marker>-detail-index``.  Any other name keeps itself as detail.
 
-    Parts and shape are columns of their own, so that the name is cut once per
-    row and not once per use.
+    The parts are a column of their own, so that the name is cut once per row
+    and not once per use.  The four results depend on nothing but the parts:
+    results that build on each other would grow without measure when a filter
+    on one of them is pushed below the parsing.
     """
     parts = F.col("_parts")
-
-    def part(i: int) -> Column:
-        return F.get(parts, F.lit(i))
+    second, third, fourth = (F.get(parts, F.lit(i)) for i in (1, 2, 3))
 
     def is_index(text: Column) -> Column:
-        return F.coalesce(text.rlike("\\A[0-9]+\\z"), F.lit(False))
+        return text.rlike("\\A[0-9]+\\z")
 
-    second = part(1)
-    shape = F.when(F.endswith(second, F.lit(payee_suffix)), "payee").when(second == group_marker, "group")
-    index = F.when(F.col("_shape") == "payee", part(2)).when(F.col("_shape") == "group", part(3))
+    payee, group = F.endswith(second, F.lit(payee_suffix)), second == group_marker
     tail = F.slice(parts, F.lit(4), F.greatest(F.size(parts) - 3, F.lit(0)))
-    numbered = F.col("item_index").isNotNull()
     return (
         frame.withColumn("_parts", F.split(name, re.escape(separator)))
-        .withColumn("_shape", shape)
-        .withColumn("item_index", F.when(is_index(index), index))
         .withColumns(
             {
-                "concept": part(0),
-                "block": F.when(F.col("_shape").isNotNull(), second),
-                "detail": F.when(numbered & (F.col("_shape") == "payee"), F.array_join(tail, separator))
-                .when(numbered, part(2))
+                "concept": F.get(parts, F.lit(0)),
+                "block": F.when(payee | group, second),
+                "item_index": F.when(payee & is_index(third), third).when(group & is_index(fourth), fourth),
+                "detail": F.when(payee & is_index(third), F.array_join(tail, separator))
+                .when(group & is_index(fourth), third)
                 .otherwise(F.col(name)),
             }
         )
-        .drop("_parts", "_shape")
+        .drop("_parts")
     )

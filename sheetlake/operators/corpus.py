@@ -10,7 +10,7 @@ from sheetlake.functions import fixed, tokens
 from sheetlake.functions.text import preview, strip
 from sheetlake.operators.ordered import running_total
 from sheetlake.operators.sizes import is_small
-from sheetlake.session import shared_folder
+from sheetlake.session import written
 
 
 def document_pairs(clean: DataFrame) -> DataFrame:
@@ -58,18 +58,15 @@ def build_document_parts(
     stretch of ``max_bytes`` bytes and is named like a chunk, so parts can be
     indexed in place of chunks.  One record may hold any share of all rows.
     """
-    size = F.octet_length("text") + len(separator.encode())
+    size = F.coalesce(F.octet_length("text") + len(separator.encode()), F.lit(0))
     pairs = document_pairs(clean)
     sizes = pairs.groupBy("id").agg(F.sum(size).alias("bytes"))
-    # Needed by three steps below, so it is written once to the shared folder.
-    shared_folder(clean.sparkSession)
-    long_ids = sizes.filter(F.col("bytes") > max_bytes).select("id").checkpoint()
+    long_ids = written(sizes.filter(F.col("bytes") > max_bytes).select("id"), "long-ids")
     if is_small(long_ids):
         long_ids = F.broadcast(long_ids)
     whole = _assemble(pairs.join(long_ids, "id", "left_anti"), ["id"], separator)
 
-    texts = pairs.join(long_ids, "id", "left_semi").filter(F.col("text").isNotNull())
-    placed = running_total(texts, ["id"], ["original_column_name", "value"], size, "end")
+    placed = running_total(pairs.join(long_ids, "id", "left_semi"), ["id"], ["original_column_name", "value"], size, "end")
     start = F.col("end") - size
     numbered = placed.withColumn("part_no", F.floor(start / max_bytes))
     parts = _assemble(numbered, ["id", "part_no"], separator)

@@ -41,13 +41,20 @@ def few_hits(queries: DataFrame, k: int = fixed.TOP_K) -> bool:
 def with_contents(hits: DataFrame, docs: DataFrame, few: bool = False) -> DataFrame:
     """Hits with the contents of their document, empty text if there is none.
 
-    The documents are read once and met by the distinct hit ids.  When the hits
-    are known to be few those ids go to every task, and only texts that were
-    hit leave the scan; otherwise both sides are shuffled by id.
+    The documents are read once and met by the hits.  When the hits are known to
+    be few they go to every task, and only texts that were hit leave the scan;
+    otherwise both sides are shuffled by id.
     """
-    wanted = hits.select("id").distinct()
-    found = docs.select("id", "contents").join(F.broadcast(wanted) if few else wanted, "id")
-    return hits.join(found, "id", "left").withColumn("contents", F.coalesce("contents", F.lit("")))
+    places = hits.select("query_id", "position", "id")
+    found = (
+        docs.select("id", "contents")
+        .join(F.broadcast(places) if few else places, "id")
+        .select("query_id", "position", "contents")
+    )
+    # Joining by place keeps both uses of the hits alike, so the search runs once.
+    return hits.join(found, ["query_id", "position"], "left").withColumn(
+        "contents", F.coalesce("contents", F.lit(""))
+    )
 
 
 def hybrid_search(keyword: DataFrame, vector: DataFrame, docs: DataFrame, few: bool = False) -> DataFrame:

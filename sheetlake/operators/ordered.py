@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sheetlake.session import shared_folder
+from sheetlake.session import written
 
 
 def running_total(
@@ -20,13 +20,12 @@ def running_total(
     it; there are no more of those per group than there are tasks.  The layout
     is written to the shared folder, since both uses must see the same slices.
     """
-    shared_folder(frame.sparkSession)
-    laid_out = (
+    laid_out = written(
         frame.withColumn("_amount", amount.cast("long"))
         .withColumn("_tie", F.rand(0))
         .repartitionByRange(*keys, *order, "_tie")
-        .withColumn("_slice", F.spark_partition_id())
-        .checkpoint()
+        .withColumn("_slice", F.spark_partition_id()),
+        "slices",
     )
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (

@@ -297,12 +297,12 @@ def build_document_parts(spark, folder):
 
 @query
 def tokenize_docs(spark, folder):
-    return corpus.tokenize_docs(t.documents(spark, folder))
+    return corpus.tokenize_docs(t.spread(t.documents(spark, folder)))
 
 
 @query
 def chunk_docs(spark, folder):
-    return corpus.chunk_docs(corpus.tokenize_docs(t.documents(spark, folder)), CHUNK_BYTES)
+    return corpus.chunk_docs(corpus.tokenize_docs(t.spread(t.documents(spark, folder))), CHUNK_BYTES)
 
 
 @query

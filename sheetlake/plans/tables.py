@@ -33,6 +33,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """Rows over all cores when the file has fewer splits than there are cores.
+
+    A file of one row group is one task, however many cores wait.  Large tables
+    have more splits than cores and stay as they are.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() * 2 <= cores else frame
+
+
 def as_text(column: Column, kind: str) -> Column:
     """Fixed text form: two decimals for doubles, the day for timestamps."""
     if kind == "double":
@@ -50,7 +60,7 @@ def table_source(
     spark: SparkSession, folder: str, name: str, columns: list[str] | None = None, file_name: str | None = None
 ) -> Source:
     """A table as a wide source; its first column gives the row order."""
-    frame = table(spark, folder, name)
+    frame = spread(table(spark, folder, name))
     if columns:
         frame = frame.select(*columns)
     order = F.col(frame.columns[0])
@@ -122,7 +132,7 @@ def long_lineitem(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("予算-グループ-金額"),
         F.concat(F.lit("事業名"), F.col("l_linestatus")),
     ]
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem")).select(
         F.concat(F.lit("database"), F.year("l_shipdate").cast("string"), F.lit(".csv")).alias("source"),
         F.col("l_orderkey").cast("string").alias(fixed.ID_PARTS[0]),
         pick(F.col("l_linenumber"), shapes).alias("original_column_name"),

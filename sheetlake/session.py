@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -48,3 +48,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path in the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For results that several later steps must see unchanged: nothing is
+    computed twice, and a lost executor only means reading again.
+    """
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -36,10 +36,14 @@ def detect_charset(spark: SparkSession, path: str) -> str:
     return "UTF-8" if valid is None or valid.ok else "MS932"
 
 
-def read_header(spark: SparkSession, path: str, charset: str = "UTF-8") -> tuple[str, ...]:
-    """Column names as written, repeated names included; reads one line."""
+def read_header(
+    spark: SparkSession, path: str, charset: str = "UTF-8", multi_line: bool = False
+) -> tuple[str, ...]:
+    """Column names as written, repeated names included; reads one record."""
     row = (
         spark.read.option("header", False)
+        .option("multiLine", multi_line)
+        .option("escape", '"')
         .option("encoding", charset)
         .option("nullValue", "\u0000")
         .option("emptyValue", "")
@@ -50,19 +54,26 @@ def read_header(spark: SparkSession, path: str, charset: str = "UTF-8") -> tuple
         return ()
     names = ["" if v is None else v for v in row]
     names[0] = names[0].removeprefix(_BOM)
+    # A line break inside a name can hide that lines end in two characters.
+    names[-1] = names[-1].removesuffix("\r")
     return tuple(names)
 
 
 def read_wide_csv(
-    spark: SparkSession, path: str, name: str | None = None, charset: str | None = None
+    spark: SparkSession,
+    path: str,
+    name: str | None = None,
+    charset: str | None = None,
+    multi_line: bool = False,
 ) -> Source | None:
     """One CSV file as a source; all columns text, no inference.
 
     Every file brings its own header, so files are read one by one: one read
-    over a folder would lay the first header over all of them.
+    over a folder would lay the first header over all of them.  A file can be
+    split among tasks unless ``multi_line`` says that cells hold line breaks.
     """
     charset = charset or detect_charset(spark, path)
-    header = read_header(spark, path, charset)
+    header = read_header(spark, path, charset, multi_line)
     if not header:
         return None
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
@@ -70,21 +81,30 @@ def read_wide_csv(
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", True)
+        .option("multiLine", multi_line)
         .option("encoding", charset)
         .option("escape", '"')
         .csv(path)
-        .select(F.monotonically_increasing_id().alias("row_no"), "*")
     )
-    return Source(name or os.path.basename(path), frame, header)
+    if multi_line:
+        last = f"c{len(header) - 1}"
+        trimmed = F.regexp_replace(last, r"\r\z", "")
+        frame = frame.withColumn(last, F.when(trimmed != "", trimmed))
+    numbered = frame.select(F.monotonically_increasing_id().alias("row_no"), "*")
+    return Source(name or os.path.basename(path), numbered, header)
 
 
 def read_wide_folder(
-    spark: SparkSession, folder: str, pattern: str = "*.csv", charset: str | None = None
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*.csv",
+    charset: str | None = None,
+    multi_line: bool = False,
 ) -> list[Source]:
     """All matching CSV files of a folder, in name order."""
     files = [(r.path, r.source) for r in list_sources(spark, folder, pattern).orderBy("source").collect()]
     with ThreadPoolExecutor(_LISTING_THREADS) as pool:
-        read = pool.map(lambda f: read_wide_csv(spark, f[0], f[1], charset), files)
+        read = pool.map(lambda f: read_wide_csv(spark, f[0], f[1], charset, multi_line), files)
         return [s for s in read if s is not None]
 
 

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from sheetlake.operators import profile
+from sheetlake.operators import longform, profile
 from sheetlake.operators.longform import unpivot_source
 from sheetlake.plans import etl, mapping
 from sheetlake.plans.index import build_search_index
@@ -51,6 +51,17 @@ def test_wide_files(spark, folder):
     assert [s.name for s in only] == ["database2015.csv"]
 
 
+def test_cells_with_line_breaks(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    path.write_text('a,"b\nb",c\r\n1,"x\ny",3\r\n4,,6\r\n7,8,"9,9"\r\n', encoding="utf-8")
+    source = files.read_wide_csv(spark, str(path), multi_line=True)
+    assert source.header == ("a", "b\nb", "c")
+    rows = [list(r)[1:] for r in source.frame.orderBy("row_no").collect()]
+    assert rows == [["1", "x\ny", "3"], ["4", None, "6"], ["7", "8", "9,9"]]
+    cleaned = longform.clean_cells(source.frame).orderBy("row_no").collect()
+    assert [r.c1 for r in cleaned] == ["x y", "", "8"]
+
+
 def test_headers_and_sizes_of_files(spark, folder):
     heads = files.read_headers(spark, str(folder))
     assert [r.name for r in heads.filter("source = 'database2014.csv'").orderBy("pos").collect()] == HEADER_2014

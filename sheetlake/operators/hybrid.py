@@ -19,6 +19,9 @@ def merge_hits(keyword: DataFrame, vector: DataFrame) -> DataFrame:
     legs = keyword.select("query_id", F.lit(KEYWORD_LEG).alias("leg"), "rank", "id").unionAll(
         vector.select("query_id", F.lit(VECTOR_LEG).alias("leg"), "rank", "id")
     )
+    # Joins further on ask for ids that are not null, but on one side only; asked
+    # for here, both uses of the hits keep the same plan and the search runs once.
+    legs = legs.filter(F.col("query_id").isNotNull() & F.col("id").isNotNull())
     first = legs.groupBy("query_id", "id").agg(F.min(F.struct("leg", "rank")).alias("place"))
     order = Window.partitionBy("query_id").orderBy("place", "id")
     return first.select(
@@ -51,7 +54,6 @@ def with_contents(hits: DataFrame, docs: DataFrame, few: bool = False) -> DataFr
         .join(F.broadcast(places) if few else places, "id")
         .select("query_id", "position", "contents")
     )
-    # Joining by place keeps both uses of the hits alike, so the search runs once.
     return hits.join(found, ["query_id", "position"], "left").withColumn(
         "contents", F.coalesce("contents", F.lit(""))
     )

@@ -69,7 +69,8 @@ def build_document_parts(
     placed = running_total(pairs.join(long_ids, "id", "left_semi"), ["id"], ["original_column_name", "value"], size, "end")
     start = F.col("end") - size
     numbered = placed.withColumn("part_no", F.floor(start / max_bytes))
-    parts = _assemble(numbered, ["id", "part_no"], separator)
+    # A stretch that holds nothing but null pairs is no part.
+    parts = _assemble(numbered, ["id", "part_no"], separator).filter(F.col("contents") != "")
     name = F.concat("id", F.lit(fixed.CHUNK_MARK), F.col("part_no").cast("string"))
     return whole.select("id", F.col("id").alias("parent_id"), "contents").unionAll(
         parts.select(name.alias("id"), F.col("id").alias("parent_id"), "contents")

@@ -2,6 +2,21 @@
 
 from __future__ import annotations
 
+OP8 = """
+WITH texts AS (
+  SELECT doc_id,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+  FROM documents
+)
+SELECT doc_id,
+       max(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept,
+       sha256(body) AS text_sha256
+FROM texts
+WINDOW same AS (PARTITION BY body)
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op8_chunk_recipes": OP8}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sheetlake.llm import wavelet
+from sheetlake.llm import recipes, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,5 +24,9 @@ def op1_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.shard_tokens_digests(docs, str(BYTE_BPE), BYTE_BPE_SIZE)
 
 
+def op8_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
+    return recipes.exact_groups(table(spark, folder, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_wavelet_shards,)}
+    return {f.__name__: f for f in (op1_wavelet_shards, op8_chunk_recipes)}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sheetlake.llm import recipes, wavelet
+from sheetlake.llm import chosenpath, recipes, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,9 +24,13 @@ def op1_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.shard_tokens_digests(docs, str(BYTE_BPE), BYTE_BPE_SIZE)
 
 
+def op2_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    return chosenpath.near_duplicates(table(spark, folder, "documents"), size=2, percent=80)
+
+
 def op8_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
     return recipes.exact_groups(table(spark, folder, "documents"))
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_wavelet_shards, op8_chunk_recipes)}
+    return {f.__name__: f for f in (op1_wavelet_shards, op2_chosen_path, op8_chunk_recipes)}

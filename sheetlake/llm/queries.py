@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sheetlake.llm import chosenpath, recipes, wavelet
+from sheetlake.llm import chosenpath, packing, recipes, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_BPE = str(public_tokenizers.path("byte_bpe_50k.json"))
 BYTE_BPE_SIZE = 50_257
+WORD_BPE = str(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,16 +22,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def op1_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return wavelet.shard_tokens_digests(docs, str(BYTE_BPE), BYTE_BPE_SIZE)
+    return wavelet.shard_tokens_digests(docs, BYTE_BPE, BYTE_BPE_SIZE)
 
 
 def op2_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
     return chosenpath.near_duplicates(table(spark, folder, "documents"), size=2, percent=80)
 
 
+def op3_certified_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_sequences(table(spark, folder, "documents"), WORD_BPE)
+
+
 def op8_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
     return recipes.exact_groups(table(spark, folder, "documents"))
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_wavelet_shards, op2_chosen_path, op8_chunk_recipes)}
+    return {f.__name__: f for f in (op1_wavelet_shards, op2_chosen_path, op3_certified_packing, op8_chunk_recipes)}

@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sheetlake.llm import chosenpath, packing, recipes, wavelet
+from sheetlake.llm import chosenpath, packing, rankcoder, recipes, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_BPE = str(public_tokenizers.path("byte_bpe_50k.json"))
 BYTE_BPE_SIZE = 50_257
+MULTI_RANKS = str(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 WORD_BPE = str(public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -37,5 +38,9 @@ def op8_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
     return recipes.exact_groups(table(spark, folder, "documents"))
 
 
+def op9_stitched_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return rankcoder.encoded_digests(table(spark, folder, "documents"), MULTI_RANKS, public_tokenizers.PATTERN)
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_wavelet_shards, op2_chosen_path, op3_certified_packing, op8_chunk_recipes)}
+    return {f.__name__: f for f in (op1_wavelet_shards, op2_chosen_path, op3_certified_packing, op8_chunk_recipes, op9_stitched_chunks)}

@@ -51,6 +51,7 @@ def recipes(docs: DataFrame, identify: Callable[[Column], Column] = F.xxhash64)
         .where("_texts > 1")
         .select("_id")
     )
+    shared = written(shared, "shared")
     listed = written(
         texts.select(
             "doc_id",
@@ -59,6 +60,8 @@ def recipes(docs: DataFrame, identify: Callable[[Column], Column] = F.xxhash64)
         ),
         "recipes",
     )
+    if shared.isEmpty():
+        return listed.withColumn("whole", F.lit(None).cast("string"))
     held = listed.select("text_sha256", F.explode(F.array_distinct("recipe")).alias("_id"))
     unverified = held.join(shared, "_id").select("text_sha256").distinct()
     whole = (

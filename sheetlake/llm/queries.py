@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sheetlake.llm import chosenpath, packing, rankcoder, recipes, wavelet
+from sheetlake.llm import chosenpath, packing, quality, rankcoder, recipes, spans, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,16 @@ def op3_certified_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_sequences(table(spark, folder, "documents"), WORD_BPE)
 
 
+def op6_hashed_regression(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op7_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cleaned = spans.without_repeats(docs)
+    return cleaned.select("doc_id", "text", "n_removed", (F.col("n_removed") > 0).alias("had_repeats"))
+
+
 def op8_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
     return recipes.exact_groups(table(spark, folder, "documents"))
 
@@ -43,4 +53,4 @@ def op9_stitched_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_wavelet_shards, op2_chosen_path, op3_certified_packing, op8_chunk_recipes, op9_stitched_chunks)}
+    return {f.__name__: f for f in (op1_wavelet_shards, op2_chosen_path, op3_certified_packing, op6_hashed_regression, op7_sentence_spans, op8_chunk_recipes, op9_stitched_chunks)}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sheetlake.llm import chosenpath, packing, quality, rankcoder, recipes, spans, wavelet
+from sheetlake.llm import chosenpath, language, packing, quality, rankcoder, recipes, spans, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,14 @@ def op3_certified_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_sequences(table(spark, folder, "documents"), WORD_BPE)
 
 
+def op4_rank_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages(table(spark, folder, "documents"))
+
+
+def op5_nearest_examples(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_hashed_regression(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -53,4 +61,4 @@ def op9_stitched_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_wavelet_shards, op2_chosen_path, op3_certified_packing, op6_hashed_regression, op7_sentence_spans, op8_chunk_recipes, op9_stitched_chunks)}
+    return {f.__name__: f for f in (op1_wavelet_shards, op2_chosen_path, op3_certified_packing, op4_rank_profiles, op5_nearest_examples, op6_hashed_regression, op7_sentence_spans, op8_chunk_recipes, op9_stitched_chunks)}

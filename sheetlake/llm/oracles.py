@@ -17,6 +17,68 @@ FROM texts
 WINDOW same AS (PARTITION BY body)
 """
 
+OP10 = r"""
+WITH RECURSIVE messages AS (
+  SELECT row_number() OVER () AS id, conv_id, turn::BIGINT AS turn, role,
+         string_split(regexp_replace(coalesce(text, ''), chr(13) || chr(10) || '?|' || chr(13), chr(10), 'g'), chr(10)) AS lines
+  FROM conversations
+), lines AS (
+  SELECT id, conv_id, turn, k, lines[k] AS line,
+         length(regexp_replace(regexp_extract(lines[k], '^[ \t]*(>[ \t]?)+'), '[^>]', '', 'g')) AS level
+  FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS k FROM messages)
+), marked AS (
+  SELECT *, regexp_replace(line, '^[ \t]*(>[ \t]?)+', '') AS said,
+         coalesce(level <> lag(level) OVER (PARTITION BY id ORDER BY k), true)::INT AS change
+  FROM lines
+), numbered AS (
+  SELECT *, sum(change) OVER (PARTITION BY id ORDER BY k) AS part FROM marked
+), parts AS (
+  SELECT id, conv_id, turn, part, any_value(level) AS level, string_agg(said, chr(10) ORDER BY k) AS said
+  FROM numbered GROUP BY id, conv_id, turn, part
+), bodies AS (
+  SELECT id, coalesce(string_agg(said, chr(10) ORDER BY part) FILTER (level = 0), '') AS own FROM parts GROUP BY id
+), utterances AS (
+  SELECT conv_id, turn, own AS said FROM bodies JOIN messages USING (id)
+  UNION ALL SELECT conv_id, turn, said FROM parts WHERE level = 0
+  UNION ALL SELECT conv_id, turn, unnest(string_split_regex(said, '\n[ \t-\r]*\n')) FROM parts WHERE level = 0
+  UNION ALL SELECT conv_id, turn, unnest(string_split(said, chr(10))) FROM parts WHERE level = 0
+), quoted AS (
+  SELECT conv_id, turn, level, trim(regexp_replace(
+           translate(said, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+', ' ', 'g')) AS said
+  FROM parts WHERE level > 0
+), origins AS (
+  SELECT DISTINCT conv_id, turn AS origin, trim(regexp_replace(
+           translate(said, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+', ' ', 'g')) AS said
+  FROM utterances
+), latest AS (
+  SELECT q.conv_id, q.turn, level, max(origin) AS reply_to
+  FROM quoted q JOIN origins o ON q.conv_id = o.conv_id AND q.said = o.said AND o.origin < q.turn
+  WHERE q.said <> '' GROUP BY q.conv_id, q.turn, level
+), links AS (
+  SELECT conv_id, turn, arg_min(reply_to, level) AS reply_to, min(level) AS quote_level
+  FROM latest GROUP BY conv_id, turn
+), chain AS (
+  SELECT conv_id, turn, reply_to AS root FROM links
+  UNION
+  SELECT c.conv_id, c.turn, l.reply_to FROM chain c JOIN links l ON l.conv_id = c.conv_id AND l.turn = c.root
+), roots AS (
+  SELECT conv_id, turn, min(root) AS root FROM chain GROUP BY conv_id, turn
+), said AS (
+  SELECT m.conv_id, m.turn, m.role, l.reply_to, l.quote_level, coalesce(r.root, m.turn) AS thread,
+         regexp_replace(own, '\A[ \t-\r]+|[ \t-\r]+\z', '', 'g') AS body
+  FROM messages m JOIN bodies USING (id)
+  LEFT JOIN links l ON l.conv_id = m.conv_id AND l.turn = m.turn
+  LEFT JOIN roots r ON r.conv_id = m.conv_id AND r.turn = m.turn
+)
+SELECT conv_id, turn, role, reply_to, quote_level, thread,
+       CASE WHEN conv_id IS NOT NULL AND turn IS NOT NULL THEN
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn IS NULL, thread, turn, coalesce(role, ''), body)
+       END AS position,
+       body,
+       '<|im_start|>' || coalesce(role, 'user') || chr(10) || body || '<|im_end|>' || chr(10) AS formatted
+FROM said
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op8_chunk_recipes": OP8}
+    return {"op8_chunk_recipes": OP8, "op10_quotation_linking": OP10}

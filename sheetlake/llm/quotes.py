@@ -36,7 +36,7 @@ def parsed(messages: DataFrame) -> DataFrame:
     """Adds ``_parts``: an array of (level, no, text), one for each passage of each message, in order."""
     lines = F.transform(
         _lines(F.col("text")),
-        lambda x: F.struct(_level(x).alias("level"), F.regexp_replace(x, MARKS, "").alias("text")),
+        lambda x: F.struct(_level(x).cast("long").alias("level"), F.regexp_replace(x, MARKS, "").alias("text")),
     )
     changes = F.transform(
         F.col("_lines"),

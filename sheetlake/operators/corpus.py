@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sheetlake.functions import fixed, tokens
 from sheetlake.functions.text import preview, strip
@@ -59,7 +59,8 @@ def build_document_parts(
     indexed in place of chunks.  One record may hold any share of all rows.
     """
     size = F.coalesce(F.octet_length("text") + len(separator.encode()), F.lit(0))
-    pairs = document_pairs(clean)
+    # A record without an id is a record like any other: no id is empty text.
+    pairs = document_pairs(clean).withColumn("id", F.coalesce("id", F.lit("")))
     sizes = pairs.groupBy("id").agg(F.sum(size).alias("bytes"))
     long_ids = written(sizes.filter(F.col("bytes") > max_bytes).select("id"), "long-ids")
     if is_small(long_ids):
@@ -69,11 +70,15 @@ def build_document_parts(
     placed = running_total(pairs.join(long_ids, "id", "left_semi"), ["id"], ["original_column_name", "value"], size, "end")
     start = F.col("end") - size
     numbered = placed.withColumn("part_no", F.floor(start / max_bytes))
-    # A stretch that holds nothing but null pairs is no part.
-    parts = _assemble(numbered, ["id", "part_no"], separator).filter(F.col("contents") != "")
-    name = F.concat("id", F.lit(fixed.CHUNK_MARK), F.col("part_no").cast("string"))
-    return whole.select("id", F.col("id").alias("parent_id"), "contents").unionAll(
-        parts.select(name.alias("id"), F.col("id").alias("parent_id"), "contents")
+    # A stretch that holds nothing but null pairs is no part; a pair that fills several leaves no gap.
+    parts = written(_assemble(numbered, ["id", "part_no"], separator).filter(F.col("contents") != ""), "parts")
+    in_order = Window.partitionBy("id").orderBy("part_no")
+    dense = parts.select("id", "part_no").withColumn("_no", F.row_number().over(in_order) - 1)
+    parts = parts.join(dense, ["id", "part_no"])
+    name = F.concat("id", F.lit(fixed.CHUNK_MARK), F.col("_no").cast("string"))
+    parent = F.nullif("id", F.lit("")).alias("parent_id")
+    return whole.select(F.nullif("id", F.lit("")).alias("id"), parent, "contents").unionAll(
+        parts.select(name.alias("id"), parent, "contents")
     )
 
 

@@ -16,8 +16,6 @@ from sheetlake.functions import fixed
 from sheetlake.functions.scoring import amount_tenths, exclusivity
 from sheetlake.functions.text import contains_any
 
-MAX_MATRIX_SOURCES = 10_000
-
 
 def candidate_headers(
     headers: DataFrame, words: Sequence[str], exclusions: Sequence[str] = ()
@@ -33,15 +31,12 @@ def explore_keyword(headers: DataFrame, keyword: str = fixed.EXPLORE_KEYWORD) ->
 
 
 def source_names(headers: DataFrame) -> list[str]:
-    """Sorted source names; refuses catalogues too wide for a matrix."""
-    rows = headers.select("source").distinct().orderBy("source").limit(MAX_MATRIX_SOURCES + 1).collect()
-    if len(rows) > MAX_MATRIX_SOURCES:
-        raise ValueError(f"a matrix of more than {MAX_MATRIX_SOURCES} sources has too many columns; use presence()")
-    return [r.source for r in rows]
+    """Sorted source names: the columns of a matrix, so as few as a table can have."""
+    return [r.source for r in headers.select("source").distinct().orderBy("source").collect()]
 
 
 def presence(headers: DataFrame) -> DataFrame:
-    """Which name occurs in which source, one row per pair that exists."""
+    """Which name occurs in which source, one row per pair that exists, for any number of sources."""
     return headers.select("name", "source").distinct().withColumn("present", F.lit(1))
 
 

@@ -23,20 +23,22 @@ def contains_word(words: Iterable[str]):
 
 
 def candidate_cells(
-    sources: Iterable[Source], wanted, sample_rows: int | None = fixed.SAMPLE_ROWS
+    sources: Iterable[Source], wanted, sample_rows: int | None = None
 ) -> DataFrame | None:
-    """Cells of the wanted columns in the first rows; missing-value texts null.
+    """Cells of the wanted columns; missing-value texts null.
 
-    Columns are dropped before the rows are ranked, so the sample reads only
-    the candidate columns.  All rows are taken when ``sample_rows`` is None.
+    All rows are taken, or the first ``sample_rows`` where a sampled scan is asked
+    for.  Columns are dropped first, so only candidate columns are read.
     """
     sampled = []
     for s in sources:
         positions = [i for i, n in enumerate(s.header) if wanted(n)]
         if not positions:
             continue
-        frame = s.frame.select("row_no", *[f"c{i}" for i in positions])
-        if sample_rows is not None:
+        frame = s.frame.select(s.label, "row_no", *[f"c{i}" for i in positions])
+        if sample_rows is not None and s.members:
+            frame = first_n(frame, ["source"], [F.col("row_no")], sample_rows)
+        elif sample_rows is not None:
             frame = frame.orderBy("row_no").limit(sample_rows)
         sampled.append(cells(replace(s, frame=frame), positions))
     if not sampled:
@@ -66,7 +68,7 @@ def key_diagnostics(
     sources: Sequence[Source],
     keywords: Sequence[str] = fixed.DIAGNOSE_KEYWORDS,
     exclusions: Sequence[str] = fixed.DIAGNOSE_EXCLUSIONS,
-    sample_rows: int | None = fixed.SAMPLE_ROWS,
+    sample_rows: int | None = None,
     sample_values: int = fixed.SAMPLE_VALUES,
 ) -> DataFrame:
     """Uniqueness and example values of the columns that may be keys."""
@@ -112,7 +114,7 @@ def map_key_columns(
     bonus: Sequence[str] = fixed.KEY_BONUS,
     exclusions: Sequence[str] = fixed.KEY_EXCLUSIONS,
     minimum: float = fixed.KEY_MIN_UNIQUENESS,
-    sample_rows: int | None = fixed.SAMPLE_ROWS,
+    sample_rows: int | None = None,
 ) -> DataFrame:
     """The key column of every source, null where none qualifies.
 
@@ -121,7 +123,7 @@ def map_key_columns(
     """
     spark = sources[0].frame.sparkSession
     heads = headers(spark, sources)
-    catalogue = spark.createDataFrame([(s.name,) for s in sources], "source STRING")
+    catalogue = spark.createDataFrame([(n,) for s in sources for n in s.names], "source STRING")
     wanted = contains_word([*trumps, *keywords])
     sampled = candidate_cells(sources, wanted, sample_rows)
     if sampled is None:
@@ -157,7 +159,7 @@ def identify_metadata(
     """The best column per source and target; a null target where none exists."""
     spark = sources[0].frame.sparkSession
     candidates = exclusivity_scores(headers(spark, sources), targets)
-    catalogue = spark.createDataFrame([(s.name,) for s in sources], "source STRING")
+    catalogue = spark.createDataFrame([(n,) for s in sources for n in s.names], "source STRING")
     wanted = contains_word([w for words in targets.values() for w in words])
     columns = ["source", "target", "column_name", "column_index", "exclusivity_score",
                "uniqueness_rate", "non_empty_rate"]

@@ -29,11 +29,10 @@ def clean_cells(frame: DataFrame) -> DataFrame:
 def unpivot_frame(frame: DataFrame, id_columns: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Keep the id columns and turn the others into name and value rows.
 
-    Blank values and rows without any id value are left out.  Works on static
+    Blank values are left out; rows without any id value stay.  Works on static
     and on streaming frames; no shuffle.
     """
-    present = F.coalesce(*[F.col(f"`{c}`") for c in id_columns]).isNotNull()
-    long = frame.filter(present).unpivot(
+    long = frame.unpivot(
         [f"`{c}`" for c in id_columns],
         [f"`{c}`" for c in columns],
         "original_column_name",
@@ -47,13 +46,13 @@ def unpivot_source(source: Source, id_width: int = 3) -> DataFrame:
 
     The first ``id_width`` columns are the id columns and keep their names.
     """
-    numbered = source.frame.select(*[F.col(c).alias(str(i)) for i, c in enumerate(source.columns)])
+    numbered = source.frame.select(source.label, *[F.col(c).alias(str(i)) for i, c in enumerate(source.columns)])
     ids = [str(i) for i in range(id_width)]
     rest = [str(i) for i in range(id_width, len(source.header))]
-    long = unpivot_frame(numbered, ids, rest)
+    long = unpivot_frame(numbered, ["source", *ids], rest)
     names = F.array(*[F.lit(n) for n in source.header])
     return long.select(
-        F.lit(source.name).alias("source"),
+        "source",
         *[F.col(f"`{i}`").alias(n) for i, n in zip(ids, source.header)],
         F.get(names, F.col("original_column_name").cast("int")).alias("original_column_name"),
         "value",

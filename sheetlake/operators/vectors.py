@@ -19,8 +19,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Numbers in a batch of queries that may be sent to every task (32 MB of doubles).
 MAX_QUERY_VALUES = 4_000_000
-BLOCK_QUERIES = 4_096
-BLOCK_VECTORS = 131_072
+# Bytes of doubles in a block of queries, in a block of vectors, and in all matrices of one tile of both.
+QUERY_BLOCK_BYTES = 16 << 20
+VECTOR_BLOCK_BYTES = 64 << 20
+TILE_BYTES = 32 << 20
 
 
 def vector_store_check(vectors: DataFrame, dimension: int | None = None) -> DataFrame:
@@ -58,66 +60,118 @@ def _matrix(column: pa.Array | pa.ChunkedArray, dimension: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
 
 
+def tile_sizes(dimension: int) -> tuple[int, int]:
+    """Queries and vectors of a tile: both sides and their product stay inside the budget."""
+    side = max(1, TILE_BYTES // 4 // (8 * dimension))
+    vectors = min(4_096, side)
+    return max(1, min(TILE_BYTES // 2 // (8 * vectors), side)), vectors
+
+
 class _Nearest:
-    """Running k nearest of a block of queries over batches of vectors."""
+    """Running k nearest of a block of queries over batches of vectors, tile by tile."""
 
     def __init__(self, queries: np.ndarray, k: int):
-        self.queries, self.k = queries, k
-        self.norms = (queries**2).sum(axis=1)
-        self.best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(queries)
+        self.k = k
+        self.tile, self.step = tile_sizes(queries.shape[1])
+        self.tiles = [queries[i : i + self.tile] for i in range(0, len(queries), self.tile)]
+        self.norms = [(q**2).sum(axis=1) for q in self.tiles]
+        self.best: list[tuple[np.ndarray, np.ndarray, np.ndarray] | None] = [None] * len(self.tiles)
+        self.limits = [np.full(len(q), np.inf) for q in self.tiles]
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        if not len(ids):
-            return
-        lengths = (vectors**2).sum(axis=1)
+        for first in range(0, len(ids), self.step):
+            some = vectors[first : first + self.step]
+            lengths = (some**2).sum(axis=1)
+            for t in range(len(self.tiles)):
+                self._add(t, ids[first : first + self.step], some, lengths)
+
+    def _add(self, t: int, ids: np.ndarray, vectors: np.ndarray, lengths: np.ndarray) -> None:
         # One product finds the candidates; their distances are then taken
         # directly, so that equal vectors tie exactly.
-        rough = lengths[None, :] + self.norms[:, None] - 2.0 * (self.queries @ vectors.T)
-        slack = 1e-9 * (lengths.max() + self.norms + 1.0)
+        queries, norms = self.tiles[t], self.norms[t]
+        rough = queries @ vectors.T
+        rough *= -2.0
+        rough += lengths[None, :]
+        rough += norms[:, None]
+        limit = self.limits[t]
         if len(ids) > self.k:
-            limit = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1] + slack
-        else:
-            limit = np.full(len(self.queries), np.inf)
-        for q, query in enumerate(self.queries):
-            near = np.flatnonzero(rough[q] <= limit[q])
-            distances = ((vectors[near] - query) ** 2).sum(axis=1)
-            names = ids[near]
-            if self.best[q] is not None:
-                distances = np.concatenate([self.best[q][0], distances])
-                names = np.concatenate([self.best[q][1], names])
-            order = np.lexsort((names, distances))[: self.k]
-            self.best[q] = (distances[order], names[order])
+            limit = np.minimum(limit, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1])
+        slack = 1e-9 * (lengths.max() + norms + 1.0)
+        q, v = np.nonzero(rough <= (limit + slack)[:, None])
+        del rough
+        room = max(1, TILE_BYTES // (8 * queries.shape[1]))
+        for first in range(0, len(q), room):
+            some_q, some_v = q[first : first + room], v[first : first + room]
+            distances = ((vectors[some_v] - queries[some_q]) ** 2).sum(axis=1)
+            self._merge(t, some_q, distances, ids[some_v])
+
+    def _merge(self, t: int, q: np.ndarray, distances: np.ndarray, ids: np.ndarray) -> None:
+        if self.best[t] is not None:
+            q, distances, ids = (np.concatenate(x) for x in zip(self.best[t], (q, distances, ids)))
+        order = np.lexsort((ids, distances, q))
+        q, distances, ids = q[order], distances[order], ids[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        keep = place < self.k
+        last = place == self.k - 1
+        self.limits[t][q[last]] = distances[last]
+        self.best[t] = q[keep], distances[keep], ids[keep]
 
     def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        found = [(q, b) for q, b in enumerate(self.best) if b is not None]
+        found = [(t * self.tile + x[0], x[2], x[1]) for t, x in enumerate(self.best) if x is not None]
         if not found:
             return np.array([], dtype=int), np.array([]), np.array([])
-        return (
-            np.concatenate([np.full(len(b[0]), q) for q, b in found]),
-            np.concatenate([b[1] for _, b in found]),
-            np.concatenate([b[0] for _, b in found]),
-        )
+        q, ids, distances = (np.concatenate(x) for x in zip(*found))
+        return q, ids, distances
 
 
 def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.array(column.to_pylist())
 
 
-def knn_l2(vectors: DataFrame, queries: DataFrame, k: int = fixed.TOP_K) -> DataFrame:
+def usual_dimension(vectors: DataFrame) -> int | None:
+    """The most frequent length of the stored vectors, the larger one on ties."""
+    lengths = vectors.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).filter(F.col("d") > 0)
+    return lengths.agg(F.max_by("d", F.struct("n", "d"))).head()[0]
+
+
+def unsearchable(vectors: DataFrame, dimension: int, key: str = "id") -> DataFrame:
+    """``(id, reason)`` of the vectors that a search can't use: missing, of another length, or with holes."""
+    embedding = F.col("embedding")
+    reason = (
+        F.when(embedding.isNull(), "missing")
+        .when(F.size(embedding) != dimension, "length")
+        .when(F.exists(embedding, lambda x: x.isNull() | F.isnan(x)), "holes")
+    )
+    return vectors.select(F.col(key), reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def knn_l2(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int = fixed.TOP_K,
+    dimension: int | None = None,
+    skip_unsearchable: bool = False,
+) -> DataFrame:
     """The k nearest vectors ``(id, embedding)`` of every query, nearest first.
 
     Queries are ``(query_id, embedding)``.  Distances are squared; ties go to
-    the lower id.  Each task keeps the k nearest of its own vectors, so no pair
+    the lower id.  The dimension is the given one or else the stored vectors'
+    usual length.  A vector or query that can't be used stops the search, unless they are to be
+    skipped; ``unsearchable`` lists them.  Each task keeps the k nearest of its own vectors, so no pair
     beyond those is ever written or shuffled.  A small batch of queries goes to
     every task; a larger one is cut into blocks that meet blocks of vectors.
     """
-    first = queries.select(F.size("embedding").alias("d")).filter(F.col("d") > 0).head()
     kinds = dict(queries.dtypes)["query_id"], dict(vectors.dtypes)["id"]
     schema = f"query_id {kinds[0]}, id {kinds[1]}, distance double"
-    if first is None:
+    dimension = dimension or usual_dimension(vectors)
+    if dimension is None:
         empty = f"query_id {kinds[0]}, rank int, id {kinds[1]}, distance double"
         return queries.sparkSession.createDataFrame([], empty)
-    dimension = first.d
+    if not skip_unsearchable:
+        for frame, key in ((vectors, "id"), (queries, "query_id")):
+            bad = unsearchable(frame, dimension, key)
+            if not bad.isEmpty():
+                raise ValueError(f"{bad.count()} rows of {key} are no vectors of length {dimension}; see unsearchable()")
     usable = vector_table(vectors, dimension)
     asked = vector_table(queries.withColumnRenamed("query_id", "id"), dimension).withColumnRenamed(
         "id", "query_id"
@@ -156,10 +210,10 @@ def _nearest_by_task(vectors: DataFrame, table: pa.Table, k, dimension, schema)
     return vectors.mapInArrow(nearest, schema)
 
 
-def _nearest_by_block(
-    vectors, queries, k, dimension, schema, block_queries: int = BLOCK_QUERIES, block_vectors: int = BLOCK_VECTORS
-) -> DataFrame:
-    """Blocks of queries meet blocks of vectors, each pair of blocks in one task."""
+def _nearest_by_block(vectors: DataFrame, queries: DataFrame, k, dimension, schema) -> DataFrame:
+    """Blocks of queries meet blocks of vectors, each pair of blocks in one task; a block has so many bytes."""
+    block_vectors = max(1, VECTOR_BLOCK_BYTES // (8 * dimension))
+    block_queries = max(1, QUERY_BLOCK_BYTES // (8 * dimension))
     n_vectors = max(1, -(-vectors.count() // block_vectors))
     n_queries = max(1, -(-queries.count() // block_queries))
 

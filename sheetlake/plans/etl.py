@@ -15,7 +15,7 @@ def clean_long_from_folder(
     spark: SparkSession, folder: str, id_parts: Sequence[str] = fixed.ID_PARTS
 ) -> DataFrame:
     """All CSV files of a folder to clean long rows, in one plan without a shuffle."""
-    return clean_long_data(unpivot_sources(files.read_wide_folder(spark, folder)), id_parts)
+    return clean_long_data(unpivot_sources(files.read_wide_groups(spark, folder)), id_parts)
 
 
 def load_clean_table(
@@ -26,6 +26,6 @@ def load_clean_table(
     id_parts: Sequence[str] = fixed.ID_PARTS,
 ) -> tuple[list[tuple[str, str]], int]:
     """Files to long Parquet to a stored clean table; returns its columns and row count."""
-    sinks.save_long(unpivot_sources(files.read_wide_folder(spark, csv_folder)), parquet_folder)
+    sinks.save_long(unpivot_sources(files.read_wide_groups(spark, csv_folder)), parquet_folder)
     sinks.save_table(clean_long_data(files.read_long_parquet(spark, parquet_folder), id_parts), table)
     return sinks.describe_table(spark, table)

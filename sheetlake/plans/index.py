@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sheetlake.functions import fixed, tokens
 from sheetlake.operators.bm25 import KeywordIndex, build_index
-from sheetlake.operators.corpus import build_documents, chunk_docs, tokenize_docs
+from sheetlake.operators.corpus import build_document_parts, chunk_docs, tokenize_docs
 from sheetlake.sources import files, sinks
 
 
@@ -32,11 +32,14 @@ def build_search_index(
 ) -> KeywordIndex:
     """Write documents, chunks and index tables below a folder.
 
-    Documents already there are kept, as are the chunks made from them.
+    Records longer than ``max_bytes`` are written in parts, so that none is ever one row, and a pair
+    longer than that is cut with the chunks.  Finished documents and chunks of the same rows
+    and settings are kept; anything else that is there is replaced.
     """
-    sinks.save_documents(build_documents(clean), f"{folder}/documents", keep_existing=True)
+    made_of = sinks.fingerprint(clean, max_bytes)
+    sinks.save_documents(build_document_parts(clean, max_bytes), f"{folder}/documents", made_of)
     docs = files.read_documents(spark, f"{folder}/documents")
-    sinks.save_documents(chunk_docs(tokenize_docs(docs), max_bytes), f"{folder}/chunks", keep_existing=True)
+    sinks.save_documents(chunk_docs(tokenize_docs(docs), max_bytes), f"{folder}/chunks", made_of)
     chunks = files.read_documents(spark, f"{folder}/chunks")
     build_index(chunks, tokens.spaced).save(f"{folder}/keyword_index")
     return KeywordIndex.load(spark, f"{folder}/keyword_index")

@@ -94,19 +94,23 @@ LONG_LINEITEM = """(SELECT 'database' || strftime(l_shipdate, '%Y') || '.csv' AS
     CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS value
   FROM lineitem)"""
 
-PARSED = f"""(SELECT source, k1, original_column_name, value, p[1] AS concept,
-    CASE WHEN p[2] LIKE '%.支払先' OR p[2] = 'グループ' THEN p[2] END AS block,
-    CASE WHEN p[2] LIKE '%.支払先' AND regexp_full_match(p[3], '[0-9]+') THEN p[3]
-         WHEN p[2] = 'グループ' AND regexp_full_match(p[4], '[0-9]+') THEN p[4] END AS item_index,
-    CASE WHEN p[2] LIKE '%.支払先' AND regexp_full_match(p[3], '[0-9]+')
-           THEN array_to_string(list_slice(p, 4, len(p)), '-')
-         WHEN p[2] = 'グループ' AND regexp_full_match(p[4], '[0-9]+') THEN p[3]
-         ELSE original_column_name END AS detail
-  FROM (SELECT *, str_split(original_column_name, '-') AS p FROM {LONG_LINEITEM}))"""
+# One anchored pattern per indexed shape; a name that fits neither keeps its whole text as detail.
+LISTED = r"(?s)^[^-]*-[^-]*[.]支払先-([0-9]+)(?:-(.*))?$"
+GROUPED = r"(?s)^[^-]*-グループ-([^-]*)-([0-9]+)(?:-.*)?$"
+BLOCK = r"(?s)^[^-]*-([^-]*[.]支払先|グループ)(?:-.*)?$"
+
+PARSED = f"""(SELECT source, k1, original_column_name, value,
+    regexp_extract(original_column_name, '^[^-]*') AS concept,
+    nullif(regexp_extract(original_column_name, '{BLOCK}', 1), '') AS block,
+    nullif(listed.number || grouped.number, '') AS item_index,
+    if(listed.number <> '', listed.rest, if(grouped.number <> '', grouped.attribute, original_column_name)) AS detail
+  FROM (SELECT *, regexp_extract(original_column_name, '{LISTED}', ['number', 'rest']) AS listed,
+      regexp_extract(original_column_name, '{GROUPED}', ['attribute', 'number']) AS grouped
+    FROM {LONG_LINEITEM}))"""
 
 CLEAN = f"""(SELECT regexp_extract(source, '([0-9]{{4}})', 1) AS year, k1 || '--' AS business_id,
     concept, block, item_index, detail, value, original_column_name
-  FROM {PARSED} WHERE value IS NOT NULL AND trim(value) != '')"""
+  FROM {PARSED} WHERE regexp_matches(value, '[^\\s\\x{{3000}}]'))"""
 
 
 DOCUMENT_PARTS = f"""(WITH pairs AS (SELECT year(o_orderdate) || '-' || o_orderpriority || '--' AS id,
@@ -418,6 +422,7 @@ def all_sql() -> dict[str, str]:
         "presence_matrix": "SELECT text AS name, "
         + ", ".join(f"max(CASE WHEN source = {lit(s)} THEN 1 ELSE 0 END) AS {s}" for s in doc_sources)
         + " FROM documents GROUP BY text",
+        "presence": "SELECT DISTINCT text AS name, source, 1 AS present FROM documents",
         "presence_count": "SELECT text AS name, count(DISTINCT source) AS presence_count FROM documents GROUP BY text",
         "explore_keyword": "SELECT DISTINCT text AS name FROM documents WHERE contains(text, 'eau')",
         "candidate_headers": f"""SELECT source, pos FROM {DOC_HEADERS}
@@ -466,9 +471,11 @@ def all_sql() -> dict[str, str]:
             round(sum(total_len) / sum(n_rows), 2) AS avg_cell_len,
             coalesce(round(sum(non_empty_len) / nullif(sum(n_rows) - sum(n_empty), 0), 2), 0) AS avg_non_empty_cell_len
             FROM (SELECT *, {DOMINANT} AS dominant_type FROM {TYPE_COUNTS}) GROUP BY source, dominant_type""",
-        "key_diagnostics": diagnostics(fixed.SAMPLE_ROWS),
+        "key_diagnostics": diagnostics(None),
+        "key_diagnostics_sampled": diagnostics(fixed.SAMPLE_ROWS),
         "key_diagnostics_full": diagnostics(None),
-        "map_key_columns": key_map(fixed.SAMPLE_ROWS),
+        "map_key_columns": key_map(None),
+        "map_key_columns_sampled": key_map(fixed.SAMPLE_ROWS),
         "map_key_columns_full": key_map(None),
         "identify_metadata": metadata(),
         "separate_main": """SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(count(*) AS VARCHAR) AS n_lines

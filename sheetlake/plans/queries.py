@@ -96,6 +96,11 @@ def presence_matrix(spark, folder):
     return headers.presence_matrix(t.document_headers(spark, folder))
 
 
+@query
+def presence(spark, folder):
+    return headers.presence(t.document_headers(spark, folder))
+
+
 @query
 def presence_count(spark, folder):
     return headers.presence_count(t.document_headers(spark, folder))
@@ -232,8 +237,14 @@ def key_diagnostics(spark, folder):
 
 @query
 def key_diagnostics_full(spark, folder):
+    return key_diagnostics(spark, folder)
+
+
+@query
+def key_diagnostics_sampled(spark, folder):
+    """The sampled scan: the first rows of every source."""
     return keys.key_diagnostics(
-        _key_sources(spark, folder), t.TABLE_KEY_WORDS, t.TABLE_KEY_EXCLUSIONS, sample_rows=None
+        _key_sources(spark, folder), t.TABLE_KEY_WORDS, t.TABLE_KEY_EXCLUSIONS, sample_rows=fixed.SAMPLE_ROWS
     )
 
 
@@ -250,7 +261,13 @@ def _map_keys(spark, folder, sample_rows):
 
 @query
 def map_key_columns(spark, folder):
-    return _map_keys(spark, folder, 500)
+    return _map_keys(spark, folder, None)
+
+
+@query
+def map_key_columns_sampled(spark, folder):
+    """The sampled scan: the first rows of every source."""
+    return _map_keys(spark, folder, fixed.SAMPLE_ROWS)
 
 
 @query

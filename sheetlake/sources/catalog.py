@@ -17,16 +17,18 @@ HEADER_SCHEMA = "source STRING, pos INT, name STRING"
 
 @dataclass(frozen=True)
 class Source:
-    """One wide table of text columns.
+    """One wide table of text columns, or several that share a header.
 
     Columns are addressed by position (``c0, c1, ...``) and the real names are
     kept beside them, so repeated header names do no harm.  ``row_no`` is the
-    row order, used where "the first rows" matter.
+    row order, used where "the first rows" matter.  Where one frame holds the rows of several
+    files, ``members`` names them and the column ``source`` tells whose a row is.
     """
 
     name: str
     frame: DataFrame
     header: tuple[str, ...]
+    members: tuple[str, ...] = ()
 
     @classmethod
     def of(cls, name: str, frame: DataFrame, order: Column | None = None) -> Source:
@@ -35,6 +37,15 @@ class Source:
         row_no = F.monotonically_increasing_id() if order is None else order
         return cls(name, frame.select(row_no.alias("row_no"), *texts), tuple(frame.columns))
 
+    @property
+    def names(self) -> tuple[str, ...]:
+        return self.members or (self.name,)
+
+    @property
+    def label(self) -> Column:
+        """The name of each row's file."""
+        return (F.col("source") if self.members else F.lit(self.name)).alias("source")
+
     @property
     def columns(self) -> list[str]:
         return [f"c{i}" for i in range(len(self.header))]
@@ -47,7 +58,7 @@ class Source:
 
 def headers(spark: SparkSession, sources: Iterable[Source]) -> DataFrame:
     """Header relation of the sources; needs no look at the data."""
-    rows = [(s.name, i, n) for s in sources for i, n in enumerate(s.header)]
+    rows = [(name, i, n) for s in sources for name in s.names for i, n in enumerate(s.header)]
     return spark.createDataFrame(rows, HEADER_SCHEMA)
 
 
@@ -55,12 +66,12 @@ def cells(source: Source, positions: Sequence[int] | None = None) -> DataFrame:
     """Cell relation of one source; a missing cell counts as empty text."""
     wanted = range(len(source.header)) if positions is None else positions
     numbered = source.frame.select(
-        "row_no", *[F.coalesce(F.col(f"c{i}"), F.lit("")).alias(str(i)) for i in wanted]
+        source.label, "row_no", *[F.coalesce(F.col(f"c{i}"), F.lit("")).alias(str(i)) for i in wanted]
     )
     names = F.array(*[F.lit(n) for n in source.header])
-    long = numbered.unpivot("row_no", [f"`{i}`" for i in wanted], "pos", "value")
+    long = numbered.unpivot(["source", "row_no"], [f"`{i}`" for i in wanted], "pos", "value")
     return long.select(
-        F.lit(source.name).alias("source"),
+        "source",
         "row_no",
         F.col("pos").cast("int").alias("pos"),
         F.get(names, F.col("pos").cast("int")).alias("name"),

@@ -13,11 +13,16 @@ from sheetlake.operators.longform import unpivot_frame
 def stream_files(
     spark: SparkSession, folder: str, schema: StructType, file_format: str = "csv", pattern: str = "*.csv"
 ) -> DataFrame:
-    """A streaming frame over the files of a folder; the schema is given."""
+    """A streaming frame over the files of a folder; the schema is given.
+
+    A CSV file whose header differs from the schema stops the stream instead of
+    giving its values wrong names: files of another header are another stream.
+    """
     return (
         spark.readStream.format(file_format)
         .schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("pathGlobFilter", pattern)
         .load(folder)
     )

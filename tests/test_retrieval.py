@@ -220,8 +220,9 @@ def knn_rows(frame):
 @pytest.mark.parametrize("most", [4_000_000, 8])
 def test_knn_matches_brute_force(spark, points, monkeypatch, most):
     monkeypatch.setattr(vectors, "MAX_QUERY_VALUES", most)
-    monkeypatch.setattr(vectors, "BLOCK_QUERIES", 3)
-    monkeypatch.setattr(vectors, "BLOCK_VECTORS", 64)
+    monkeypatch.setattr(vectors, "QUERY_BLOCK_BYTES", 3 * 8 * 4)
+    monkeypatch.setattr(vectors, "VECTOR_BLOCK_BYTES", 64 * 8 * 4)
+    monkeypatch.setattr(vectors, "TILE_BYTES", 2048)
     queries = [(i, p) for i, (_, p) in enumerate(points[:6])] + [(9, [1.0, 0.0, 0.0, 0.0])]
     store = spark.createDataFrame(points, "id STRING, embedding ARRAY<FLOAT>").repartition(3)
     asked = spark.createDataFrame(queries, "query_id BIGINT, embedding ARRAY<FLOAT>")
@@ -231,15 +232,35 @@ def test_knn_matches_brute_force(spark, points, monkeypatch, most):
     assert [r for r in rows if r[0] == 9][0][2:] == ("w000", 0.0)
 
 
+def test_tiles_stay_inside_the_budget():
+    for dimension in (1, 64, 1_000, 100_000):
+        queries, some = vectors.tile_sizes(dimension)
+        assert queries >= 1 and some >= 1
+        assert 8 * (queries * some + (queries + some) * dimension) <= vectors.TILE_BYTES
+    rng = np.random.default_rng(1)
+    asked, stored = rng.normal(size=(60_000, 64)), rng.normal(size=(300, 64))
+    search = vectors._Nearest(asked, 2)
+    search.add(np.arange(300), stored)
+    q, ids, distances = search.rows()
+    assert len(q) == 120_000 and max(len(t) for t in search.tiles) <= vectors.tile_sizes(64)[0]
+    exact = ((stored - asked[59_999]) ** 2).sum(axis=1)
+    assert ids[q == 59_999].tolist() == np.argsort(exact)[:2].tolist()
+
+
 def test_knn_with_fewer_vectors_than_k_and_bad_vectors(spark):
     store = spark.createDataFrame(
         [(1, [0.0, 0.0]), (2, [3.0, 4.0]), (3, None), (4, [1.0]), (5, [float("nan"), 0.0])], "id BIGINT, embedding ARRAY<FLOAT>"
     )
     asked = spark.createDataFrame([(7, [0.0, 0.0]), (8, None)], "query_id BIGINT, embedding ARRAY<FLOAT>")
-    assert knn_rows(vectors.knn_l2(store, asked, 5)) == [(7, 1, 1, 0.0), (7, 2, 2, 25.0)]
+    for dimension in (None, 2):
+        with pytest.raises(ValueError, match="unsearchable"):
+            vectors.knn_l2(store, asked, 5, dimension)
+    listed = {tuple(r) for r in vectors.unsearchable(store, 2).collect()}
+    assert listed == {(3, "missing"), (4, "length"), (5, "holes")}
+    assert knn_rows(vectors.knn_l2(store, asked, 5, skip_unsearchable=True)) == [(7, 1, 1, 0.0), (7, 2, 2, 25.0)]
     check = {r.dimension: (r.n_vectors, r.n_null, r.n_with_holes, r.is_valid) for r in vectors.vector_store_check(store).collect()}
     assert check == {2: (3, 0, 1, True), -1: (1, 1, 0, False), 1: (1, 0, 0, False)}
-    none = vectors.knn_l2(store, asked.filter("query_id = 8"), 5)
+    none = vectors.knn_l2(store, asked.filter("query_id = 8"), 5, skip_unsearchable=True)
     assert none.columns == ["query_id", "rank", "id", "distance"] and none.count() == 0
 
 

@@ -1,9 +1,9 @@
 """Keyword index and BM25 ranking as DataFrame jobs.
 
-The index is three tables: ``postings(parent_id, id, dl, term, tf)`` spread by
-``parent_id``, ``terms(term, df)`` and the one-row ``corpus(n_docs, avg_dl)``.  Scoring joins
-the query terms to the postings where they lie, so the scores of one document
-are added up without another shuffle and only the best of every task travel.
+The index is three tables: ``postings(parent_id, id, dl, term, tf)``, ``terms(term, df)`` and the
+one-row ``corpus(n_docs, avg_dl)``.  A lazy index has its postings spread by ``parent_id``, so the scores of
+one document are added up where it lies.  A stored index has them in folders by a hash bucket of the
+term: a search reads the buckets of its terms only, and adds scores up after a shuffle of the matches.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from sheetlake.functions import fixed, tokens
 from sheetlake.functions.text import parent_id
 from sheetlake.operators.sizes import is_small
 from sheetlake.operators.topn import first_n
+from sheetlake.session import written
 
 Tokenizer = Callable[[Column], Column]
 
@@ -25,25 +26,48 @@ Tokenizer = Callable[[Column], Column]
 SCORE_UNIT = 1e-12
 
 
+# Folders of a stored index; also the most values a search collects to pick its folders.
+BUCKETS = 256
+
+
 @dataclass(frozen=True)
 class KeywordIndex:
     postings: DataFrame
     terms: DataFrame
     corpus: DataFrame
+    buckets: int = 0
 
-    def save(self, path: str) -> None:
-        """Write the three tables below a folder, postings sorted by term.
+    def save(self, path: str, buckets: int = BUCKETS) -> None:
+        """Write the three tables below a folder, postings in term buckets and sorted by term.
 
-        Sorted row groups let a search skip those without any query term.
+        Rows are rebalanced by bucket: a bucket with a hot term becomes several files.
         """
-        self.postings.sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{path}/postings")
+        placed = self.postings.withColumn("bucket", bucket_of(F.col("term"), buckets)).hint("rebalance", "bucket")
+        placed.sortWithinPartitions("bucket", "term", "id").write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{path}/postings"
+        )
+        self.postings.sparkSession.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(
+            f"{path}/layout"
+        )
         saved = self.postings.sparkSession.read.parquet(f"{path}/postings")
         term_stats(saved).write.mode("overwrite").parquet(f"{path}/terms")
         self.corpus.write.mode("overwrite").parquet(f"{path}/corpus")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> KeywordIndex:
-        return cls(*[spark.read.parquet(f"{path}/{part}") for part in ("postings", "terms", "corpus")])
+        tables = [spark.read.parquet(f"{path}/{part}") for part in ("postings", "terms", "corpus")]
+        return cls(*tables, spark.read.parquet(f"{path}/layout").head().buckets)
+
+    def postings_of(self, terms: DataFrame) -> DataFrame:
+        """Postings that can hold any of the terms: of a stored index the folders of their buckets."""
+        if not self.buckets:
+            return self.postings
+        wanted = terms.select(bucket_of(F.col("term"), self.buckets).alias("b")).distinct().collect()
+        return self.postings.filter(F.col("bucket").isin([r.b for r in wanted])).drop("bucket")
+
+
+def bucket_of(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
 def corpus_stats(chunks: DataFrame, tokenizer: Tokenizer = tokens.words) -> DataFrame:
@@ -140,6 +164,30 @@ def build_index(
     )
 
 
+def build_query_index(
+    chunks: DataFrame, vocabulary: DataFrame, tokenizer: Tokenizer = tokens.words, small: bool | None = None
+) -> KeywordIndex:
+    """Index of chunks ``(parent_id, id, contents)`` for the terms of one batch of queries.
+
+    Every text is cut into tokens once, where it is read.  What leaves its place is one row per
+    chunk and known term, with all other tokens of the chunk counted in one more; these rows are
+    written, and postings, frequencies and corpus figures all come from them.
+    """
+    small = is_small(vocabulary) if small is None else small
+    wanted = vocabulary.select("term").distinct().withColumn("_known", F.lit(True))
+    found = chunks.select("parent_id", "id", tokenizer(F.col("contents")).alias("found")).select(
+        "parent_id", "id", F.size("found").alias("dl"), F.explode("found").alias("term")
+    )
+    marked = found.join(F.broadcast(wanted) if small else wanted, "term", "left").withColumn(
+        "term", F.when(F.col("_known"), F.col("term"))
+    )
+    counted = written(marked.groupBy("parent_id", "id", "dl", "term").agg(F.count("*").alias("tf")), "query-terms")
+    postings = counted.filter(F.col("term").isNotNull())
+    lengths = counted.groupBy("id").agg(F.max("dl").alias("dl"))
+    corpus = lengths.agg(F.count("*").alias("n_docs"), (F.sum("dl") / F.count("*")).alias("avg_dl"))
+    return KeywordIndex(postings, term_stats(postings), corpus)
+
+
 def query_terms(queries: DataFrame, tokenizer: Tokenizer = tokens.words) -> DataFrame:
     """``(query_id, term, qtf)`` of queries ``(query_id, text)``."""
     return (
@@ -174,7 +222,7 @@ def score_documents(
     part = F.col("qtf") * F.col("idf") * tf / (tf + k1 * (1 - b + b * relative))
     units = F.floor(part / SCORE_UNIT + 0.5)
     return (
-        index.postings.join(F.broadcast(weighted) if small else weighted, "term")
+        index.postings_of(terms).join(F.broadcast(weighted) if small else weighted, "term")
         .groupBy("parent_id", "query_id", "id")
         .agg(F.sum(units).alias("units"))
         .select("query_id", "id", (F.col("units") * SCORE_UNIT).alias("score"), "units")

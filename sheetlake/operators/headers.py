@@ -91,10 +91,21 @@ def keyword_sources(
 
 
 def signatures(headers: DataFrame) -> DataFrame:
-    """Column count and total header length of every source."""
+    """Column count, total header length and two order-free hash sums of (place, name) of every source."""
+    hashes = (F.xxhash64("pos", "name"), F.xxhash64(F.lit(1), "name", "pos"))
+    sums = [F.sum(x.cast("decimal(20,0)")).alias(f"_sum{i}") for i, x in enumerate(hashes)]
     return headers.groupBy("source").agg(
-        F.count("*").alias("column_count"),
-        F.sum(F.length("name")).alias("total_length"),
+        F.count("*").alias("column_count"), F.sum(F.length("name")).alias("total_length"), *sums
+    )
+
+
+def _groups(signed: DataFrame) -> DataFrame:
+    """One row per column count and total length; ``_first`` holds the sums of the first source by name."""
+    same = (F.min("_sum0") == F.max("_sum0")) & (F.min("_sum1") == F.max("_sum1"))
+    return signed.groupBy("column_count", "total_length").agg(
+        F.count("*").alias("n_sources"),
+        same.alias("consistent"),
+        F.min_by(F.struct("_sum0", "_sum1"), "source").alias("_first"),
     )
 
 
@@ -102,21 +113,11 @@ def header_types(headers: DataFrame) -> DataFrame:
     """Groups of sources with equal column count and total header length.
 
     A group is consistent when all its sources carry the same names in the same
-    places: then every place and name occurs once in each source.
+    places, which two 64-bit hash sums per source tell without gathering any
+    header list.
     """
-    signed = signatures(headers)
-    key = ["column_count", "total_length"]
-    groups = signed.groupBy(*key).agg(F.count("*").alias("n_sources"))
-    fewest = (
-        headers.join(signed, "source")
-        .groupBy(*key, "pos", "name")
-        .agg(F.count("*").alias("n"))
-        .groupBy(*key)
-        .agg(F.min("n").alias("fewest"))
-    )
-    return _number_types(groups).join(fewest, key).select(
-        "type_no", *key, "n_sources", (F.col("fewest") == F.col("n_sources")).alias("consistent")
-    )
+    groups = _number_types(_groups(signatures(headers)))
+    return groups.select("type_no", "column_count", "total_length", "n_sources", "consistent")
 
 
 def _number_types(groups: DataFrame) -> DataFrame:
@@ -138,10 +139,14 @@ def _number_types(groups: DataFrame) -> DataFrame:
 
 
 def header_type_members(headers: DataFrame) -> DataFrame:
-    """The sources of every header type, one row per source."""
-    types = header_types(headers)
-    return signatures(headers).join(types, ["column_count", "total_length"]).select(
-        "type_no", "source", "consistent"
+    """The sources of every header type, one row per source.
+
+    ``matches_first`` tells whether a source has the names of its group's first one, by source name.
+    """
+    signed = signatures(headers)
+    types = _number_types(_groups(signed))
+    return signed.join(types, ["column_count", "total_length"]).select(
+        "type_no", "source", "consistent", (F.struct("_sum0", "_sum1") == F.col("_first")).alias("matches_first")
     )
 
 

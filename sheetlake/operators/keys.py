@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sheetlake.functions import fixed
 from sheetlake.functions.scoring import key_name_score
-from sheetlake.functions.text import calendar_year, drop_na_tokens, is_filled
+from sheetlake.functions.text import calendar_year, contains_any, drop_na_tokens, is_filled
 from sheetlake.operators.headers import exclusivity_scores
 from sheetlake.operators.topn import first_n
 from sheetlake.sources.catalog import Source, all_cells, cells, headers
@@ -81,7 +81,9 @@ def key_diagnostics(
             "sample_values STRING"
         )
     column = ["source", "pos", "name"]
-    stats = column_uniqueness(sampled)
+    # A file with a header and no rows still has its candidates, with nothing in them.
+    heads = headers(spark, sources).filter(contains_any(F.col("name"), keywords) & ~contains_any(F.col("name"), exclusions))
+    stats = heads.join(column_uniqueness(sampled), column, "left").na.fill({"uniqueness": 0.0, "non_empty_count": 0})
     firsts = (
         sampled.filter(F.col("value").isNotNull())
         .groupBy(*column, "value")

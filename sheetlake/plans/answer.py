@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from sheetlake.functions import fixed, tokens
-from sheetlake.operators.bm25 import KeywordIndex, bm25_search, query_terms
+from sheetlake.operators.bm25 import KeywordIndex, bm25_search, build_query_index, query_terms
+from sheetlake.operators.corpus import chunk_docs, tokenize_docs
 from sheetlake.operators.hybrid import assemble_prompt, few_hits, hybrid_search
 from sheetlake.operators.sizes import is_small
 from sheetlake.operators.vectors import knn_l2
-from sheetlake.plans.index import index_documents
+from sheetlake.session import written
 
 
 def search(
@@ -33,9 +34,10 @@ def search_documents(
     tokenizer=tokens.words,
 ) -> DataFrame:
     """Keyword hits straight from documents: only the query terms are indexed."""
-    terms = query_terms(queries, tokenizer)
+    terms = written(query_terms(queries, tokenizer), "terms")
     small = is_small(terms)
-    index = index_documents(docs, max_bytes, tokenizer, terms, small)
+    chunks = chunk_docs(tokenize_docs(docs.select("id", "contents"), tokenizer), max_bytes)
+    index = build_query_index(chunks, terms, tokens.spaced, small)
     return bm25_search(index, queries, k, tokenizer=tokenizer, small=small)
 
 

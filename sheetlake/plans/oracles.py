@@ -410,6 +410,12 @@ def all_sql() -> dict[str, str]:
             trim(regexp_replace(url, '[^\p{L}\p{N}_]+', '_', 'g'), '_') AS file_name FROM pages""",
         "unpivot_wide": f"SELECT 'orders' AS source, * FROM ({UNPIVOT_ORDERS})",
         "stream_unpivot": UNPIVOT_ORDERS,
+        "csv_round_trip": UNPIVOT_ORDERS,
+        "long_round_trip": f"SELECT * FROM {CLEAN}",
+        "document_round_trip": "SELECT CAST(doc_id AS VARCHAR) AS id, text AS contents FROM documents",
+        "stream_clean": f"""SELECT '2000' AS year, o_orderkey AS business_id, original_column_name AS concept,
+            CAST(NULL AS VARCHAR) AS block, CAST(NULL AS VARCHAR) AS item_index, original_column_name AS detail,
+            value, original_column_name FROM ({UNPIVOT_ORDERS})""",
         "composite_id": "SELECT l_orderkey || '-' || '' || '-' || l_linenumber AS business_id, l_partkey, l_suppkey "
         "FROM lineitem",
         "parse_header_path": f"SELECT original_column_name, concept, block, item_index, detail FROM {PARSED}",
@@ -433,8 +439,10 @@ def all_sql() -> dict[str, str]:
         "keyword_sources": f"""SELECT target, keyword, source, count(*) AS occurrences
             FROM {DOC_HEADERS} h JOIN {keyword_rows(t.DOCUMENT_KEYWORDS)} ON contains(h.name, k.keyword) GROUP BY ALL""",
         "header_fingerprint": f"SELECT * FROM {HEADER_TYPES}",
-        "header_fingerprint_members": f"""SELECT ty.type_no, s.source, ty.consistent FROM
-            (SELECT source, count(*) AS column_count, CAST(sum(length(name)) AS BIGINT) AS total_length FROM {ORDER_HEADERS} GROUP BY source) s
+        "header_fingerprint_members": f"""SELECT ty.type_no, s.source, ty.consistent,
+              content = first_value(content) OVER (PARTITION BY type_no ORDER BY source) AS matches_first FROM
+            (SELECT source, count(*) AS column_count, CAST(sum(length(name)) AS BIGINT) AS total_length,
+               string_agg(pos || '=' || name, '|' ORDER BY pos) AS content FROM {ORDER_HEADERS} GROUP BY source) s
             JOIN {HEADER_TYPES} ty USING (column_count, total_length)""",
         "rank_headers": f"SELECT header_name, score, found_in_sources_count FROM {AMOUNT_RANKS}",
         "rank_headers_top": f"""SELECT header_name, score, found_in_sources_count FROM {AMOUNT_RANKS}
@@ -495,6 +503,7 @@ def all_sql() -> dict[str, str]:
         "bm25_corpus": f"""SELECT count(*) AS n_docs, round(sum(len(tokens)) / count(*), 6) AS avg_dl
             FROM {DOC_TOKENS} WHERE len(tokens) > 0""",
         "bm25_search": f"SELECT * FROM {bm25(DOC_TOKENS)}",
+        "stored_search": f"SELECT * FROM {bm25(DOC_TOKENS)}",
         "bm25_search_chunked": "SELECT * FROM "
         + bm25(f"(SELECT id, string_split(contents, ' ') AS tokens FROM {chunks(CHUNK_BYTES)})"),
         "vector_store_check": """SELECT len(embedding) AS dimension, count(*) AS n_vectors,

@@ -10,11 +10,12 @@ from sheetlake.functions import fixed
 from sheetlake.functions.headerpath import with_header_path
 from sheetlake.functions.text import calendar_year, file_safe_name, first_year, sheet_safe_name
 from sheetlake.operators import corpus, headers, hybrid, keys, longform, profile, separate, vectors
+from sheetlake.operators.bm25 import KeywordIndex, bm25_search as bm25_search_in
 from sheetlake.plans import tables as t
 from sheetlake.plans.answer import search_documents
 from sheetlake.plans.index import index_documents
-from sheetlake.session import scratch_path
-from sheetlake.sources import catalog
+from sheetlake.session import remove_at_end, scratch_path
+from sheetlake.sources import catalog, files, sinks
 from sheetlake.streaming.unpivot import stream_files, unpivot_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -363,6 +364,16 @@ def bm25_search_chunked(spark, folder):
     return _keyword_hits(spark, folder, CHUNK_BYTES).withColumn("score", F.round("score", 6))
 
 
+@query
+def stored_search(spark, folder):
+    """The same hits from an index that was saved and loaded."""
+    path = scratch_path(spark, "keyword-index")
+    index_documents(t.documents(spark, folder)).save(path)
+    remove_at_end(spark, path)
+    hits = bm25_search_in(KeywordIndex.load(spark, path), t.passages(spark, folder))
+    return hits.withColumn("score", F.round("score", 6))
+
+
 @query
 def vector_store_check(spark, folder):
     return vectors.vector_store_check(t.vectors(spark, folder))
@@ -401,13 +412,55 @@ def assemble_prompt(spark, folder):
     return hybrid.assemble_prompt(t.passages(spark, folder), _hybrid(spark, folder))
 
 
-# --- streaming -----------------------------------------------------------------
+# --- files ---------------------------------------------------------------------
 @query
-def stream_unpivot(spark, folder):
+def csv_round_trip(spark, folder):
+    """A table written as CSV and read back as wide files."""
+    path = scratch_path(spark, "csv")
+    sinks.save_csv(t.text_table(t.table(spark, folder, "orders")), path)
+    remove_at_end(spark, path)
+    return longform.unpivot_sources(files.read_wide_groups(spark, path)).drop("source")
+
+
+@query
+def long_round_trip(spark, folder):
+    """Long rows written by source and read back as the clean table."""
+    path = scratch_path(spark, "long-rows")
+    sinks.save_long(t.long_lineitem(spark, folder), path)
+    remove_at_end(spark, path)
+    return longform.clean_long_data(files.read_long_parquet(spark, path))
+
+
+@query
+def document_round_trip(spark, folder):
+    path = scratch_path(spark, "documents")
+    sinks.save_documents(t.documents(spark, folder), path)
+    remove_at_end(spark, path)
+    return files.read_documents(spark, path)
+
+
+# --- streaming -----------------------------------------------------------------
+def _order_stream(spark, folder, transform=lambda long: long):
     schema = t.table(spark, folder, "orders").schema
     stream = stream_files(spark, folder, schema, "parquet", "orders.parquet")
     ids = ["o_orderkey", "o_custkey", "o_orderstatus"]
     rest = [c for c in schema.names if c not in ids]
-    return unpivot_stream(
-        t.text_table(stream), ids, rest, scratch_path(spark, "long"), scratch_path(spark, "stream")
+    out, state = scratch_path(spark, "long"), scratch_path(spark, "stream")
+    long = unpivot_stream(t.text_table(stream), ids, rest, out, state, transform)
+    remove_at_end(spark, out)
+    remove_at_end(spark, state)
+    return long
+
+
+@query
+def stream_unpivot(spark, folder):
+    return _order_stream(spark, folder)
+
+
+@query
+def stream_clean(spark, folder):
+    """The clean table, parsed while it streams."""
+    named = F.lit(t.ORDERS_FILE)
+    return _order_stream(
+        spark, folder, lambda long: longform.clean_long_data(long.withColumn("source", named), ["o_orderkey"])
     )

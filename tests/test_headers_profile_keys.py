@@ -143,6 +143,8 @@ def test_key_diagnostics(spark):
     two = [tuple(r) for r in keys.key_diagnostics([source], sample_rows=2).collect()]
     assert two[0] == ("f", "事業番号", 1.0, 2, "b | a")
     assert keys.key_diagnostics([source], keywords=["zz"]).count() == 0
+    bare = Source.of("bare", frame(spark, {"事業番号": ["x"], "名前": ["y"]}).limit(0))
+    assert [tuple(r) for r in keys.key_diagnostics([bare, source]).collect()][0] == ("bare", "事業番号", 0.0, 0, "")
 
 
 def test_key_map(spark):

@@ -178,6 +178,19 @@ def test_stored_index(spark, docs, questions, tmp_path):
     bm25.build_index(docs).save(str(tmp_path / "index"))
     stored = bm25.KeywordIndex.load(spark, str(tmp_path / "index"))
     assert rows_of(bm25.bm25_search(stored, questions, 2)) == brute_bm25(TEXTS, QUESTIONS, 2)
+    plan = bm25.score_documents(stored, bm25.query_terms(questions))._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.splitlines() if "FileScan" in x and "tf#" in x)
+    assert "PartitionFilters: [bucket" in scan or "PartitionFilters: [isnotnull(bucket" in scan or "bucket#" in scan.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_query_index_has_the_figures_of_the_whole_corpus(docs, questions):
+    chunks = docs.withColumn("parent_id", F.col("id"))
+    terms = bm25.query_terms(questions)
+    index, whole = bm25.build_query_index(chunks, terms, small=True), bm25.build_index(docs)
+    assert index.corpus.head() == whole.corpus.head()
+    assert rows_of(bm25.bm25_search(index, questions, 2, small=True)) == brute_bm25(TEXTS, QUESTIONS, 2)
+    known = {r.term for r in terms.select("term").distinct().collect()}
+    assert {tuple(r) for r in index.terms.collect()} == {tuple(r) for r in whole.terms.collect() if r.term in known}
 
 
 def test_chunks_are_ranked_before_their_parent_is_looked_up(spark):

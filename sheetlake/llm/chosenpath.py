@@ -17,8 +17,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
+from sheetlake.llm.keyfilter import key_filter, maybe_in
 from sheetlake.llm.links import components
 from sheetlake.llm.shingles import SKETCH, jaccard_at_least, set_key, shingle_sets, sketch
 from sheetlake.llm.words import mix
@@ -219,9 +221,10 @@ def crowds(reps: DataFrame, percent: int) -> DataFrame:
     return written(found.dropDuplicates(["crowd", "rep"]), "crowds")
 
 
-def _set_rows(size: int) -> Callable:
+def _set_rows(size: int, wanted: Broadcast) -> Callable:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(maybe_in(wanted.value, batch.column(0).to_numpy())))
             sets = [x.tobytes() for x in shingle_sets(batch.column(1).to_pylist(), size)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "members"])
 
@@ -229,13 +232,17 @@ def _set_rows(size: int) -> Callable:
 
 
 def links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b): confirmed links between representatives, a spanning forest of each compared unit."""
+    """(a, b): confirmed links between representatives, a spanning forest of each compared unit.
+
+    Texts are read again for the full sets, and only those that a filter of
+    fixed size lets through leave their place.
+    """
     near = crowds(reps, percent)
-    wanted = near.select(F.col("rep").alias("doc_id")).distinct()
+    wanted = docs.sparkSession.sparkContext.broadcast(key_filter(near.select("rep")))
     sets = (
-        docs.select("doc_id", F.col("text").cast("string").alias("text"))
-        .join(wanted, "doc_id", "left_semi")
-        .mapInArrow(_set_rows(size), "rep long, members binary")
+        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+        .where("doc_id is not null")
+        .mapInArrow(_set_rows(size, wanted), "rep long, members binary")
     )
     rows = written(near.join(sets, "rep"), "sets")
     blocks = rows.groupBy("crowd").agg(
@@ -269,11 +276,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "set_key", F.coalesce("component", "rep").alias("_component")
     )
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
     return signed.join(written(named, "named"), "set_key", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("_component", "doc_id").alias("component_id"),
-        F.coalesce(F.coalesce("_component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
+        "doc_id", "n_shingles", own.alias("component_id"), own.eqNullSafe(F.col("doc_id")).alias("kept")
     )
 
 

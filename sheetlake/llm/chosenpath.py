@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from sheetlake.llm.keyfilter import key_filter, maybe_in
 from sheetlake.llm.links import components
 from sheetlake.llm.shingles import SKETCH, jaccard_at_least, set_key, shingle_sets, sketch
+from sheetlake.llm.ship import ship
 from sheetlake.llm.words import mix
 from sheetlake.session import written
 
@@ -263,6 +264,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     kept.  Rows that repeat an id share its component.  An empty table gives no rows; other
     columns are ignored.
     """
+    ship(docs.sparkSession)
     signed = written(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_signer(size), SIGNED), "signed"
     )

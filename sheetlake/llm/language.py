@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sheetlake.llm.labelled import crc_mod
+from sheetlake.llm.ship import ship
 from sheetlake.operators.topn import first_n
 
 PROFILE = 300
@@ -137,6 +138,7 @@ def languages(docs: DataFrame, rows: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
     ``und`` with score 0, and so is every text where nothing could be learned.  A row without ``doc_id`` is held out.
     Ties go to the language that sorts first.  Other columns are ignored.
     """
+    ship(docs.sparkSession)
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     ).withColumn("held_out", F.coalesce(crc_mod(F.col("doc_id"), 3) == 1, F.lit(True)))

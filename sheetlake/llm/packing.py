@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sheetlake.llm.chosenpath import by_key, rows_by_key
 from sheetlake.llm.encode import encoder
+from sheetlake.llm.ship import ship
 from sheetlake.session import written
 
 SEQUENCE = 4096
@@ -28,6 +29,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, limit: int = SEQUEN
 
     A null text is an empty one, whose only id is ``end_id``.
     """
+    ship(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
@@ -131,6 +133,7 @@ def pack(pieces: DataFrame, limit: int = SEQUENCE) -> DataFrame:
     long as that saves bins and the bound of the whole table is not met, for at
     most ``ROUNDS`` rounds.  Only counts reach the driver.
     """
+    ship(pieces.sparkSession)
     pieces = written(pieces, "pieces")
     total = pieces.count()
     sizes = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sheetlake.llm.labelled import sample_labels, sample_texts
+from sheetlake.llm.ship import ship
 from sheetlake.llm.words import SPACES, each_text, mix
 
 SAMPLE = 4_000
@@ -236,6 +237,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, ro
     repeated rows are scored one by one; other columns are ignored.  Without usable labels every
     probability is one half, so only the base rules decide.
     """
+    ship(docs.sparkSession)
     model = train(docs, labels, rows=rows)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     failed = (F.col("n_words") < FEWEST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)

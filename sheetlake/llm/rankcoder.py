@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from sheetlake.llm.ship import ship
 from sheetlake.session import written
 
 CHUNK = 16_384
@@ -205,6 +206,7 @@ def encoded_digests(
     they stream by.  A null text is an empty one, without ids.  Rows with null
     or repeated ids count one by one.  Other columns are ignored.
     """
+    ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     short = docs.where(F.length("text") <= chunk).mapInArrow(_whole(path, pattern), DIGEST)
     cut = (

@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from sheetlake.llm.ship import ship
 from sheetlake.session import written
 
 SENTENCES = 3
@@ -86,6 +87,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     repeated span's later places are looked up by hash and one of ``SALTS`` parts, so a
     passage that a third of all documents share is spread.
     """
+    ship(docs.sparkSession)
     rows = docs.mapInArrow(_span_rows, "doc_id long, first int, size int, high long, low long")
     rows = written(rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")), "spans")
     parts = rows.groupBy("high", "low", "_salt").agg(

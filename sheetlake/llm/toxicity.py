@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sheetlake.llm.labelled import crc_mod, sample_labels, sample_texts
 from sheetlake.llm.quality import _sigmoid, calibrate
+from sheetlake.llm.ship import ship
 from sheetlake.llm.words import each_text
 
 SAMPLE = 8_000
@@ -243,6 +244,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFram
     examples; without any usable label every score is 0.  Null ids are held out;
     repeated rows are scored one by one; other columns are ignored.
     """
+    ship(docs.sparkSession)
     held_out = F.coalesce(crc_mod(F.col("doc_id").cast("long"), 5) == 0, F.lit(True))
     scorer = fit(docs, labels.where(~held_out), rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string"))

@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from sheetlake.llm.encode import encoder
+from sheetlake.llm.ship import ship
 from sheetlake.session import scratch_path
 
 SHARD_TOKENS = 4_000_000
@@ -165,6 +166,7 @@ def write_token_shards(
     first; rows with equal ids are all kept, in the order of their texts.  Other
     columns are ignored.
     """
+    ship(docs.sparkSession)
     kind, width = ("<u2", 16) if vocabulary <= 1 << 16 else ("<u4", 32)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,6 +198,7 @@ def write_token_shards(
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """The shard rows; columns that are not selected are not read."""
+    ship(spark)
     return spark.read.schema(SHARD_SCHEMA).parquet(path)
 
 

@@ -13,6 +13,10 @@ from sheetlake.operators.sizes import is_small
 from sheetlake.session import written
 
 
+# Bytes of the longest character in UTF-8.
+LONGEST_CHARACTER = 4
+
+
 def document_pairs(clean: DataFrame) -> DataFrame:
     """``(id, original_column_name, value, text)`` with text ``detail: value``."""
     text = F.concat("detail", F.lit(fixed.NAME_VALUE_SEPARATOR), "value")
@@ -99,6 +103,8 @@ def chunk_docs(docs: DataFrame, max_bytes: int = fixed.CHUNK_BYTES) -> DataFrame
     The text is viewed as one character per byte, which lets one regular
     expression count bytes; everything stays inside the JVM.
     """
+    if max_bytes < LONGEST_CHARACTER:
+        raise ValueError(f"a chunk must hold a character: at least {LONGEST_CHARACTER} bytes")
     long = F.octet_length("contents") > max_bytes
     as_bytes = F.decode(F.encode(F.when(long, F.col("contents")), "UTF-8"), "ISO-8859-1")
     rest = rf"[\x00-\xFF]{{1,{max_bytes}}}\z"

@@ -174,6 +174,13 @@ def column_type_counts(cells: DataFrame) -> DataFrame:
     )
 
 
+def source_sizes(headers: DataFrame, counts: DataFrame) -> DataFrame:
+    """Columns and rows per source; a source with a header and no rows has 0 rows."""
+    columns = headers.groupBy("source").agg(F.count("*").alias("column_count"))
+    rows = counts.groupBy("source").agg(F.max("n_rows").alias("row_count"))
+    return columns.join(rows, "source", "left").na.fill({"row_count": 0})
+
+
 def with_dominant_type(counts: DataFrame, threshold: float = fixed.DOMINANCE) -> DataFrame:
     label = dominant_type(
         *[F.col(c) for c in ("n_rows", "n_empty", "n_int", "n_float", "n_bool", "n_text")], threshold

@@ -474,6 +474,8 @@ def all_sql() -> dict[str, str]:
         )
         + f" FROM {LENGTH_BINS} GROUP BY source",
         "column_type_counts": f"SELECT * FROM {TYPE_COUNTS}",
+        "source_sizes": f"""SELECT source, count(*) AS column_count, max(n_rows) AS row_count
+            FROM {TYPE_COUNTS} GROUP BY source""",
         "column_type_summary": f"""SELECT source, dominant_type, count(*) AS column_count,
             round(sum(n_empty) / sum(n_rows), 3) AS avg_empty_rate, max(max_len) AS overall_max_cell_len,
             round(sum(total_len) / sum(n_rows), 2) AS avg_cell_len,

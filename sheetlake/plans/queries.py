@@ -218,6 +218,12 @@ def column_type_counts(spark, folder):
     return _type_counts(spark, folder)
 
 
+@query
+def source_sizes(spark, folder):
+    sources = [t.table_source(spark, folder, name) for name in TYPE_SOURCES]
+    return profile.source_sizes(catalog.headers(spark, sources), profile.column_type_counts(catalog.all_cells(sources)))
+
+
 @query
 def column_type_summary(spark, folder):
     return profile.column_type_summary(_type_counts(spark, folder))

@@ -33,14 +33,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """Rows over all cores when the file has fewer splits than there are cores.
-
-    A file of one row group is one task, however many cores wait.  Large tables
-    have more splits than cores and stay as they are.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() * 2 <= cores else frame
+def spread(docs: DataFrame) -> DataFrame:
+    """Documents placed by id: a file of one row group, or of a few long texts, is many tasks."""
+    return docs.repartition("id")
 
 
 def as_text(column: Column, kind: str) -> Column:

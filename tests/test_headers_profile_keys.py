@@ -126,6 +126,14 @@ def test_source_metrics(spark, names):
     assert summary.total_size_mb == 3.0
 
 
+def test_sources_without_rows_have_a_size(spark):
+    full = Source.of("full", spark.createDataFrame([("1", "2"), ("3", None)], "a STRING, b STRING"))
+    bare = Source.of("bare", full.named().limit(0))
+    counts = profile.column_type_counts(all_cells([full, bare]))
+    found = {tuple(r) for r in profile.source_sizes(headers(spark, [full, bare]), counts).collect()}
+    assert found == {("full", 2, 2), ("bare", 2, 0)}
+
+
 # --- keys ------------------------------------------------------------------------
 def frame(spark, columns):
     rows = list(zip(*columns.values()))

@@ -245,6 +245,11 @@ def test_knn_matches_brute_force(spark, points, monkeypatch, most):
     assert [r for r in rows if r[0] == 9][0][2:] == ("w000", 0.0)
 
 
+def test_a_chunk_holds_a_character(docs):
+    with pytest.raises(ValueError, match="at least"):
+        corpus.chunk_docs(docs, 3)
+
+
 def test_tiles_stay_inside_the_budget():
     for dimension in (1, 64, 1_000, 100_000):
         queries, some = vectors.tile_sizes(dimension)

@@ -2,6 +2,36 @@
 
 from __future__ import annotations
 
+OP2 = r"""
+WITH RECURSIVE said AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'),
+         lambda x: x <> '') AS words
+  FROM documents
+), sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(words) < 2 THEN words
+    ELSE list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) END AS shingles
+  FROM said
+), items AS MATERIALIZED (
+  SELECT doc_id, unnest(shingles) AS shingle FROM sets
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT x, y FROM pairs JOIN sets p ON p.doc_id = x JOIN sets q ON q.doc_id = y
+  WHERE 100 * shared >= 80 * (len(p.shingles) + len(q.shingles) - shared)
+), ways AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach(doc_id, other) AS (
+  SELECT x, y FROM ways UNION SELECT r.doc_id, w.y FROM reach r JOIN ways w ON w.x = r.other
+), components AS (
+  SELECT doc_id, min(other) AS least_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, len(shingles) AS n_shingles, least(doc_id, coalesce(least_id, doc_id)) AS component_id,
+       least(doc_id, coalesce(least_id, doc_id)) = doc_id AS kept
+FROM sets LEFT JOIN components USING (doc_id)
+"""
+
 OP8 = """
 WITH texts AS (
   SELECT doc_id,
@@ -81,4 +111,4 @@ FROM said
 
 
 def all_sql() -> dict[str, str]:
-    return {"op8_chunk_recipes": OP8, "op10_quotation_linking": OP10}
+    return {"op2_chosen_path": OP2, "op8_chunk_recipes": OP8, "op10_quotation_linking": OP10}

@@ -41,11 +41,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut repeated passages; ``n_chars`` follows the text where it is cut."""
-    cleaned = spans.without_repeats(docs)
+    count = spans.free_name(docs.columns, "n_removed")
+    cleaned = spans.without_repeats(docs, count)
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        length = F.length("text").cast(kind)
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")))
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col(count) > 0, length).otherwise(F.col("n_chars")))
     return cleaned.select(docs.columns)
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sheetlake.llm.keyfilter import key_filter, maybe_in
 from sheetlake.llm.links import components
+from sheetlake.llm.scratch import Scratch
 from sheetlake.llm.shingles import SKETCH, jaccard_at_least, set_key, shingle_sets, sketch
 from sheetlake.llm.ship import ship
 from sheetlake.llm.words import mix
@@ -206,20 +207,22 @@ def crowds(reps: DataFrame, percent: int) -> DataFrame:
     least = passing(percent)
     rows = reps.select(F.explode("roots").alias("node"), "rep", "sketch")
     found = None
-    for level in range(LEVELS + 1):
-        rows = written(rows, "paths")
-        counts = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        live = written(rows.join(counts, "node"), "nodes")
-        last = level == LEVELS
-        small = live if last else live.where(F.col("n") <= NODE_ROWS)
-        units = _units(small.withColumn("_blocks", F.ceil(F.col("n") / NODE_ROWS).cast("long")).drop("n"), "node", "_blocks")
-        some = by_key(units, "unit", _compare_sketches(least), "crowd long, rep long, sketch binary")
-        found = some if found is None else found.unionByName(some)
-        rows = live.where(F.col("n") > NODE_ROWS).select("node", "rep", "sketch")
-        if last or rows.isEmpty():
-            break
-        rows = rows.mapInArrow(branch, "node long, rep long, sketch binary")
-    return written(found.dropDuplicates(["crowd", "rep"]), "crowds")
+    with Scratch(reps.sparkSession) as scratch:
+        for level in range(LEVELS + 1):
+            rows = scratch.written(rows, "paths")
+            counts = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            live = scratch.written(rows.join(counts, "node"), "nodes")
+            last = level == LEVELS
+            small = live if last else live.where(F.col("n") <= NODE_ROWS)
+            blocks = F.ceil(F.col("n") / NODE_ROWS).cast("long")
+            units = _units(small.withColumn("_blocks", blocks).drop("n"), "node", "_blocks")
+            some = by_key(units, "unit", _compare_sketches(least), "crowd long, rep long, sketch binary")
+            found = some if found is None else found.unionByName(some)
+            rows = live.where(F.col("n") > NODE_ROWS).select("node", "rep", "sketch")
+            if last or rows.isEmpty():
+                break
+            rows = rows.mapInArrow(branch, "node long, rep long, sketch binary")
+        return written(found.dropDuplicates(["crowd", "rep"]), "crowds")
 
 
 def _set_rows(size: int, wanted: Broadcast) -> Callable:
@@ -245,12 +248,13 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFram
         .where("doc_id is not null")
         .mapInArrow(_set_rows(size, wanted), "rep long, members binary")
     )
-    rows = written(near.join(sets, "rep"), "sets")
-    blocks = rows.groupBy("crowd").agg(
-        F.ceil(F.sum(F.octet_length("members") + 200) / UNIT_BYTES).cast("long").alias("_blocks")
-    )
-    units = _units(rows.join(blocks, "crowd"), "crowd", "_blocks")
-    return by_key(units, "unit", _compare_sets(passing(percent), percent), "a long, b long")
+    with Scratch(docs.sparkSession) as scratch:
+        rows = scratch.written(near.join(sets, "rep"), "sets")
+        blocks = rows.groupBy("crowd").agg(
+            F.ceil(F.sum(F.octet_length("members") + 200) / UNIT_BYTES).cast("long").alias("_blocks")
+        )
+        units = _units(rows.join(blocks, "crowd"), "crowd", "_blocks")
+        return written(by_key(units, "unit", _compare_sets(passing(percent), percent), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -274,7 +278,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         classes.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi"
     ).select(F.col("doc_id").alias("rep"), "roots", "sketch")
     found = links(docs, reps, size, percent)
-    labels = written(components(found), "labels")
+    labels = components(found)
     named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "set_key", F.coalesce("component", "rep").alias("_component")
     )

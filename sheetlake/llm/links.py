@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from sheetlake.llm.scratch import Scratch
 from sheetlake.session import written
 
 
@@ -16,15 +17,17 @@ def components(links: DataFrame) -> DataFrame:
     shuffle, and the joins are between written tables, so a hub with many links
     can be split at run time.  Only a count per round reaches the driver.
     """
-    edges = written(_pairs(links.select("a", "b")), "links")
-    while True:
-        large = written(_pairs(_toward_least(edges, larger=True)), "links")
-        small = written(_pairs(_toward_least(large, larger=False)), "links")
-        if small.exceptAll(edges).isEmpty() and edges.exceptAll(small).isEmpty():
-            break
-        edges = small
-    leaves = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
-    return leaves.unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    with Scratch(links.sparkSession) as scratch:
+        edges = scratch.written(_pairs(links.select("a", "b")), "links")
+        while True:
+            large = scratch.written(_pairs(_toward_least(edges, True, scratch)), "links")
+            small = scratch.written(_pairs(_toward_least(large, False, scratch)), "links")
+            if small.exceptAll(edges).isEmpty() and edges.exceptAll(small).isEmpty():
+                break
+            edges = small
+        leaves = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
+        roots = edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
+        return written(leaves.unionByName(roots), "components")
 
 
 def _pairs(links: DataFrame) -> DataFrame:
@@ -36,10 +39,10 @@ def _pairs(links: DataFrame) -> DataFrame:
     )
 
 
-def _toward_least(edges: DataFrame, larger: bool) -> DataFrame:
+def _toward_least(edges: DataFrame, larger: bool, scratch: Scratch) -> DataFrame:
     """Links from the larger (or smaller) neighbours of each id to the least of its neighbours and itself."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if larger else edges
-    least = written(both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("_m")), "least")
+    least = scratch.written(both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("_m")), "least")
     moved = both.join(least, "a")
     if larger:
         return moved.where("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b"))

@@ -14,16 +14,17 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from sheetlake.llm.scratch import Scratch
 from sheetlake.llm.ship import ship
 from sheetlake.session import written
 
 SENTENCES = 3
 WORDS = 20
 LONGEST = 16
-SALTS = 32
 
 _SENTENCE = re.compile(r"[^\n.!?]*(?:[.!?](?!\s)[^\n.!?]*)*(?:[.!?]+\s*|\n\s*|\Z)")
 _WORD = re.compile(r"\S+\s*")
@@ -62,45 +63,69 @@ def spans(parts: list[str]) -> Iterator[tuple[int, int, bytes]]:
 
 
 def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All spans of a batch of texts; ``later`` marks those that begin at an earlier place of the batch as well."""
     for batch in batches:
+        docs, firsts, sizes, hashes = [], [], [], []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            found = list(spans(sentences(text.as_py() or "")))
-            if found:
-                high = [int.from_bytes(x[2][:8], "little", signed=True) for x in found]
-                low = [int.from_bytes(x[2][8:], "little", signed=True) for x in found]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([doc_id] * len(found), pa.int64()),
-                        pa.array([x[0] for x in found], pa.int32()),
-                        pa.array([x[1] for x in found], pa.int32()),
-                        pa.array(high, pa.int64()),
-                        pa.array(low, pa.int64()),
-                    ],
-                    ["doc_id", "first", "size", "high", "low"],
-                )
+            for first, size, digest in spans(sentences(text.as_py() or "")):
+                docs.append(doc_id)
+                firsts.append(first)
+                sizes.append(size)
+                hashes.append(digest)
+        if not docs:
+            continue
+        both = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
+        first = np.array(firsts, np.int32)
+        known = np.array([x is not None for x in docs])
+        order = np.lexsort((first, np.array([x or 0 for x in docs], np.int64), known, both[:, 1], both[:, 0]))
+        later = np.zeros(len(docs), bool)
+        later[order[1:]] = (both[order[1:]] == both[order[:-1]]).all(axis=1)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(docs, pa.int64()),
+                pa.array(first),
+                pa.array(sizes, pa.int32()),
+                pa.array(both[:, 0].copy()),
+                pa.array(both[:, 1].copy()),
+                pa.array(later),
+            ],
+            ["doc_id", "first", "size", "high", "low", "later"],
+        )
+
+
+def _behind_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by hash and place, all but the first of each hash."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        high, low = batch.column(3).to_numpy(), batch.column(4).to_numpy()
+        later = np.zeros(len(high), bool)
+        later[1:] = (high[1:] == high[:-1]) & (low[1:] == low[:-1])
+        later[0] = (high[0], low[0]) == last
+        last = high[-1], low[-1]
+        yield batch.filter(pa.array(later)).select(["doc_id", "first", "size"])
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, first, size): each span that began at an earlier place as well, by doc_id and sentence number.
 
-    Counting and finding the first place are combined before the shuffle.  A
-    repeated span's later places are looked up by hash and one of ``SALTS`` parts, so a
-    passage that a third of all documents share is spread.
+    Every batch of texts settles its own repeats, so that of a hot passage one row per
+    batch is left to be shuffled; these meet in order of place and all but the
+    first are repeats too, with nothing held in memory.
     """
     ship(docs.sparkSession)
-    rows = docs.mapInArrow(_span_rows, "doc_id long, first int, size int, high long, low long")
-    rows = written(rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")), "spans")
-    parts = rows.groupBy("high", "low", "_salt").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "first")).alias("least")
-    )
-    shared = (
-        parts.groupBy("high", "low")
-        .agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.collect_list("_salt").alias("_salts"))
-        .where("n > 1")
-        .select("high", "low", "least", F.explode("_salts").alias("_salt"))
-    )
-    later = F.struct("doc_id", "first") > F.col("least")
-    return rows.join(written(shared, "shared"), ["high", "low", "_salt"]).where(later).select("doc_id", "first", "size")
+    with Scratch(docs.sparkSession) as scratch:
+        kinds = "doc_id long, first int, size int, high long, low long, later boolean"
+        rows = scratch.written(docs.mapInArrow(_span_rows, kinds), "spans")
+        met = (
+            rows.where("not later")
+            .repartition("high", "low")
+            .sortWithinPartitions("high", "low", "doc_id", "first")
+            .mapInArrow(_behind_first, "doc_id long, first int, size int")
+        )
+        settled = rows.where("later").select("doc_id", "first", "size")
+        return written(settled.unionByName(met).where("doc_id is not null"), "repeats")
 
 
 def remove(text: str, covered: list[dict]) -> tuple[str, int, int]:
@@ -110,37 +135,48 @@ def remove(text: str, covered: list[dict]) -> tuple[str, int, int]:
     return "".join(x for k, x in enumerate(parts) if k not in gone), len(gone), len(parts)
 
 
-def _cleaned(columns: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _cleaned(columns: list[str], count: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The last column holds what is covered; it becomes the count of sentences cut."""
+    place = columns.index("text")
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, gone = [], []
-            covered = batch.column(batch.schema.get_field_index("_covered"))
-            for text, spans_ in zip(batch.column(batch.schema.get_field_index("text")), covered):
-                text, spans_ = text.as_py(), spans_.as_py()
-                if spans_:
-                    text, n, _ = remove(text or "", spans_)
-                    gone.append(n)
-                else:
-                    gone.append(0)
+            for text, covered in zip(batch.column(place), batch.column(len(columns))):
+                text, covered = text.as_py(), covered.as_py()
+                n = 0
+                if covered:
+                    text, n, _ = remove(text or "", covered)
                 texts.append(text)
-            arrays = [batch.column(batch.schema.get_field_index(x)) if x != "text" else pa.array(texts, pa.string()) for x in columns]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(gone, pa.int64())], [*columns, "n_removed"])
+                gone.append(n)
+            arrays = batch.columns[: len(columns)]
+            arrays[place] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(gone, pa.int64())], [*columns, count])
 
     return work
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs``, with repeated passages cut out of ``text``, and ``n_removed``: sentences cut.
+def free_name(columns: list[str], name: str) -> str:
+    """The name, with underscores in front until no column has it."""
+    taken = {x.lower() for x in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def without_repeats(docs: DataFrame, count: str = "n_removed") -> DataFrame:
+    """All rows and columns of ``docs``, with repeated passages cut out of ``text``, and ``count``: sentences cut.
 
     The first place of a span is that of the smallest ``doc_id``, then of the
     earlier sentence.  A null or empty text stays as it is.  A row without
     ``doc_id`` comes before all others and is never cut.  Rows that repeat a ``doc_id`` are one
-    document: what is cut from one is cut from all.  Columns named ``_covered``,
-    ``_key`` or ``n_removed`` are replaced.  An empty table gives no rows.
+    document: what is cut from one is cut from all.  A column that is named like ``count`` is
+    replaced; all others stay.  An empty table gives no rows.
     """
-    docs = docs.drop("_covered", "_key", "n_removed").withColumn("text", F.col("text").cast("string"))
+    docs = docs.drop(count).withColumn("text", F.col("text").cast("string"))
     found = repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    covered = found.groupBy(F.col("doc_id").alias("_key")).agg(F.collect_set(F.struct("first", "size")).alias("_covered"))
-    joined = docs.join(covered, docs["doc_id"] == covered["_key"], "left").drop("_key")
+    key, listed = free_name(docs.columns, "_key"), free_name(docs.columns, "_covered")
+    covered = found.groupBy(F.col("doc_id").alias(key)).agg(F.collect_set(F.struct("first", "size")).alias(listed))
+    joined = docs.join(covered, docs["doc_id"] == covered[key], "left").drop(key)
     kinds = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in docs.schema)
-    return joined.mapInArrow(_cleaned(docs.columns), f"{kinds}, n_removed long")
+    return joined.mapInArrow(_cleaned(docs.columns, count), f"{kinds}, `{count}` long")

@@ -357,7 +357,7 @@ def bm25_corpus(spark, folder):
 
 
 def _keyword_hits(spark, folder, max_bytes=fixed.CHUNK_BYTES):
-    return search_documents(t.documents(spark, folder), t.passages(spark, folder), max_bytes=max_bytes)
+    return search_documents(t.spread(t.documents(spark, folder)), t.passages(spark, folder), max_bytes=max_bytes)
 
 
 @query

@@ -40,7 +40,7 @@ def byte_letters() -> list[str]:
 class PieceEncoder:
     """Ids of texts as little-endian bytes of the given unsigned type."""
 
-    def __init__(self, path: str, kind: str = "<u4") -> None:
+    def __init__(self, path: str, kind: str = "<u4", cached: int = CACHE_PIECES) -> None:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
@@ -52,6 +52,7 @@ class PieceEncoder:
         self.pattern = _LOOSE_WORDS if self.loose else _WORDS
         self.letters = dict(enumerate(byte_letters()))
         self.added = [x["content"] for x in settings["added_tokens"]]
+        self.cached = cached
         self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -65,7 +66,7 @@ class PieceEncoder:
         else:
             spelled = word.encode().decode("latin-1").translate(self.letters)
         known = self.pack([x.id for x in self.model.tokenize(spelled)])
-        if len(self.words) >= CACHE_PIECES:
+        if len(self.words) >= self.cached:
             self.words.clear()
         self.words[word] = known
         return known
@@ -96,13 +97,13 @@ class PieceEncoder:
         if ids is None:
             ids = self.piece(" " + rest)
             if len(rest) <= LONGEST_CACHED:
-                if len(self.pieces) >= CACHE_PIECES:
+                if len(self.pieces) >= self.cached:
                     self.pieces.clear()
                 self.pieces[rest] = ids
         return ids
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, kind: str = "<u4") -> PieceEncoder:
-    """One encoder per worker process, path and type."""
-    return PieceEncoder(path, kind)
+def encoder(path: str, kind: str = "<u4", cached: int = CACHE_PIECES) -> PieceEncoder:
+    """One encoder per worker process and setting; it remembers at most ``cached`` pieces and words."""
+    return PieceEncoder(path, kind, cached)

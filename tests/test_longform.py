@@ -41,6 +41,8 @@ def test_clean_long_data_with_a_missing_id_part(spark):
         ("2014", "001-02-3", None, "事業名", "橋"),
         ("2014", "001-02-3", "1", "金額", " 5 "),
         ("2015", "9-8-", None, "事業名", "7"),
+        ("2014", "--", None, "事業名", "lost"),
+        ("2014", "--", "1", "金額", "1"),
     }
     assert longform.clean_long_data(long).columns == list(longform.CLEAN_COLUMNS)
 

@@ -1,7 +1,10 @@
 """Repeated passages by sliding spans of sentences.
 
-A text is cut into sentences (at line ends and behind closing punctuation; a
-sentence of more than ``LONGEST`` words goes on as a further one).  From every
+A text is cut into sentences (at line ends and behind closing punctuation), and a
+sentence of more than ``LONGEST`` words behind the word with the smallest hash of every
+``LONGEST`` neighbouring words, so that each part counts as a sentence of its own.  Whether there is a cut
+depends on less than ``LONGEST`` words on either side, so copies of a passage are cut
+alike but for its ends, wherever they begin; a copy of 51 words has a span in common.  From every
 sentence on, the shortest run of at least ``SENTENCES`` sentences and ``WORDS`` words
 is a span.  Spans are joined globally by a 128-bit hash of their
 normalised words; in all but the first place of a repeated span its sentences are
@@ -12,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,20 +28,28 @@ from sheetlake.session import written
 
 SENTENCES = 3
 WORDS = 20
-LONGEST = 16
+LONGEST = 8
 
 _SENTENCE = re.compile(r"[^\n.!?]*(?:[.!?](?!\s)[^\n.!?]*)*(?:[.!?]+\s*|\n\s*|\Z)")
 _WORD = re.compile(r"\S+\s*")
 
 
+def chosen(words: list[str]) -> list[int]:
+    """The places of the smallest hash in each run of ``LONGEST`` words, of equal ones the last."""
+    keys = [(zlib.crc32(x.encode("utf-8", "surrogatepass")) << 32) - k for k, x in enumerate(words)]
+    least = {min(keys[k : k + LONGEST]) for k in range(len(keys) - LONGEST + 1)}
+    return [k for k, x in enumerate(keys) if x in least]
+
+
 def sentences(text: str) -> list[str]:
     """Consecutive parts of a text; together they are the text."""
     out = []
     for match in _SENTENCE.finditer(text):
         part = match.group()
-        if part and len(part.split()) > LONGEST:
-            words = [x.end() for x in _WORD.finditer(part)]
-            cuts = [0, *words[LONGEST - 1 : -1 : LONGEST], len(part)]
+        words = part.lower().split()
+        if len(words) > LONGEST:
+            ends = [x.end() for x in _WORD.finditer(part)]
+            cuts = [0, *(ends[k] for k in chosen(words) if k < len(words) - 1), len(part)]
             out.extend(part[a:b] for a, b in zip(cuts, cuts[1:]))
         elif part:
             out.append(part)

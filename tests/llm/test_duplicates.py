@@ -199,3 +199,30 @@ def test_spans_against_brute_force(spark):
         want[doc_id] = "".join(x for k, x in enumerate(parts) if k not in gone)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {x.doc_id: x.text for x in spans.without_repeats(docs).collect()} == want
+
+
+def test_passages_without_sentence_ends_are_found_at_every_offset(spark):
+    passage = [f"said{k}" for k in range(51)]
+    for gap in (None, 14, 24):
+        marked = [x + "." if gap and k in (gap, gap + 10, gap + 20) else x for k, x in enumerate(passage)]
+        rows = [(0, " ".join(["first", *marked, "last"]))]
+        for k in range(1, 42):
+            own = [f"own{k}x{i}" for i in range(60)]
+            rows.append((k, " ".join([*own[:k], *marked, *own[k:]])))
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        found = {x.doc_id: (x.text or "").split() for x in spans.without_repeats(docs).collect()}
+        assert found[0] == rows[0][1].split()
+        for k, text in rows[1:]:
+            left = found[k]
+            assert [x for x in left if x.startswith("own")] == [x for x in text.split() if x.startswith("own")]
+            assert sum(x.startswith("said") for x in left) <= 51 - spans.WORDS
+
+
+def test_parts_have_at_most_longest_words():
+    pick = random.Random(12)
+    for n in (1, 8, 9, 100, 1000):
+        for words in ([pick.choice("abcdefgh") * pick.randint(1, 4) for _ in range(n)], ["same"] * n):
+            text = "  " + " \t".join(words)
+            parts = spans.sentences(text)
+            assert "".join(parts) == text
+            assert max(len(x.split()) for x in parts) <= spans.LONGEST

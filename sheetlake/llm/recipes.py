@@ -101,7 +101,19 @@ def exact_groups(docs: DataFrame, identify: Callable[[Column], Column] = F.xxhas
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    stay = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    """One row of each group of equal texts, with all its columns.
+
+    Where several rows have the ``doc_id`` that stays and an equal text, one of them
+    stays.  Rows are only dealt by document for that if there are any.
+    """
+    kept = exact_groups(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("_n"))
+    stay = written(kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "_n"), "stay")
     sha = F.sha2(normalised(docs["text"]), 256)
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["_id"]) & (sha == stay["_sha"]), "left_semi")
+    found = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_id"]) & (sha == stay["_sha"]), "left_semi")
+    if stay.where("_n > 1").isEmpty():
+        return found
+    name = "_sha"
+    while name in {x.lower() for x in docs.columns}:
+        name = f"_{name}"
+    keyed = found.withColumn(name, F.sha2(normalised(F.col("text")), 256))
+    return keyed.dropDuplicates(["doc_id", name]).select(docs.columns)

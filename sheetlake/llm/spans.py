@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from sheetlake.llm.scratch import Scratch
@@ -75,52 +76,76 @@ def spans(parts: list[str]) -> Iterator[tuple[int, int, bytes]]:
 
 
 def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All spans of a batch of texts; ``later`` marks those that begin at an earlier place of the batch as well."""
+    """All spans of a batch of texts; ``later`` marks those that begin at an earlier place of the batch as well.
+
+    Rows that repeat both id and text are one place, so of each batch only one of them is read.
+    """
     for batch in batches:
-        docs, firsts, sizes, hashes = [], [], [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        docs, bodies, firsts, sizes, hashes, known = [], [], [], [], [], set()
+        for doc_id, body, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            if (doc_id, body) in known:
+                continue
+            known.add((doc_id, body))
             for first, size, digest in spans(sentences(text.as_py() or "")):
                 docs.append(doc_id)
+                bodies.append(body)
                 firsts.append(first)
                 sizes.append(size)
                 hashes.append(digest)
         if not docs:
             continue
         both = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
-        first = np.array(firsts, np.int32)
-        known = np.array([x is not None for x in docs])
-        order = np.lexsort((first, np.array([x or 0 for x in docs], np.int64), known, both[:, 1], both[:, 0]))
+        first, body = np.array(firsts, np.int32), np.array(bodies, np.int64)
+        named = np.array([x is not None for x in docs])
+        order = np.lexsort((first, body, np.array([x or 0 for x in docs], np.int64), named, both[:, 1], both[:, 0]))
         later = np.zeros(len(docs), bool)
         later[order[1:]] = (both[order[1:]] == both[order[:-1]]).all(axis=1)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(docs, pa.int64()),
+                pa.array(body),
                 pa.array(first),
                 pa.array(sizes, pa.int32()),
                 pa.array(both[:, 0].copy()),
                 pa.array(both[:, 1].copy()),
                 pa.array(later),
             ],
-            ["doc_id", "first", "size", "high", "low", "later"],
+            ["doc_id", "body", "first", "size", "high", "low", "later"],
         )
 
 
 def _behind_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by hash and place, all but the first of each hash."""
-    last = None
+    """Of rows sorted by hash and place, all but those at the first place of each hash.
+
+    Rows of one place follow each other: row k is at the first place of its hash
+    where it is the hash's first row, or at the same place as row k - 1 that is there.
+    """
+    last, leads = None, False
     for batch in batches:
         if not batch.num_rows:
             continue
-        high, low = batch.column(3).to_numpy(), batch.column(4).to_numpy()
-        later = np.zeros(len(high), bool)
-        later[1:] = (high[1:] == high[:-1]) & (low[1:] == low[:-1])
-        later[0] = (high[0], low[0]) == last
-        last = high[-1], low[-1]
-        yield batch.filter(pa.array(later)).select(["doc_id", "first", "size"])
+        # An id that is null equals 0 here; such rows are never cut, and they are not at the place of others.
+        named = pc.is_valid(batch.column(0)).to_numpy(zero_copy_only=False)
+        doc_id = pc.fill_null(batch.column(0), 0).to_numpy()
+        place = np.stack([named, doc_id, batch.column(1).to_numpy(), batch.column(2).to_numpy()])
+        digest = np.stack([batch.column(4).to_numpy(), batch.column(5).to_numpy()])
+        other_hash, other_place = np.ones(len(doc_id), bool), np.ones(len(doc_id), bool)
+        other_hash[1:] = (digest[:, 1:] != digest[:, :-1]).any(axis=0)
+        other_place[1:] = (place[:, 1:] != place[:, :-1]).any(axis=0)
+        if last is not None:
+            other_hash[0] = (digest[:, 0] != last[0]).any()
+            other_place[0] = (place[:, 0] != last[1]).any()
+        # Of each row, the last row at which hash or place changed; -1 lies in the batch before.
+        run = np.maximum.accumulate(np.where(other_hash | other_place, np.arange(len(doc_id)), -1))
+        first = np.where(run < 0, leads, other_hash[run])
+        last, leads = (digest[:, -1], place[:, -1]), bool(first[-1])
+        yield batch.filter(pa.array(~first)).select(["doc_id", "body", "first", "size"])
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, first, size): each span that began at an earlier place as well, by doc_id and sentence number.
+    """(doc_id, body, first, size): each span that began at an earlier place as well, by doc_id, body and sentence number.
+
+    ``body`` is a hash of the text, so that rows which repeat an id are told apart by their texts.
 
     Every batch of texts settles its own repeats, so that of a hot passage one row per
     batch is left to be shuffled; these meet in order of place and all but the
@@ -128,15 +153,15 @@ def repeats(docs: DataFrame) -> DataFrame:
     """
     ship(docs.sparkSession)
     with Scratch(docs.sparkSession) as scratch:
-        kinds = "doc_id long, first int, size int, high long, low long, later boolean"
+        kinds = "doc_id long, body long, first int, size int, high long, low long, later boolean"
         rows = scratch.written(docs.mapInArrow(_span_rows, kinds), "spans")
         met = (
             rows.where("not later")
             .repartition("high", "low")
-            .sortWithinPartitions("high", "low", "doc_id", "first")
-            .mapInArrow(_behind_first, "doc_id long, first int, size int")
+            .sortWithinPartitions("high", "low", "doc_id", "body", "first")
+            .mapInArrow(_behind_first, "doc_id long, body long, first int, size int")
         )
-        settled = rows.where("later").select("doc_id", "first", "size")
+        settled = rows.where("later").select("doc_id", "body", "first", "size")
         return written(settled.unionByName(met).where("doc_id is not null"), "repeats")
 
 
@@ -181,14 +206,19 @@ def without_repeats(docs: DataFrame, count: str = "n_removed") -> DataFrame:
 
     The first place of a span is that of the smallest ``doc_id``, then of the
     earlier sentence.  A null or empty text stays as it is.  A row without
-    ``doc_id`` comes before all others and is never cut.  Rows that repeat a ``doc_id`` are one
-    document: what is cut from one is cut from all.  A column that is named like ``count`` is
+    ``doc_id`` comes before all others and is never cut.  Rows that repeat both ``doc_id`` and text are one
+    document, of which the first place stays in every row; rows that repeat only the ``doc_id`` are
+    documents of their own, in order of a hash of their texts.  A column that is named like ``count`` is
     replaced; all others stay.  An empty table gives no rows.
     """
     docs = docs.drop(count).withColumn("text", F.col("text").cast("string"))
-    found = repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    found = repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("body"), "text"))
     key, listed = free_name(docs.columns, "_key"), free_name(docs.columns, "_covered")
-    covered = found.groupBy(F.col("doc_id").alias(key)).agg(F.collect_set(F.struct("first", "size")).alias(listed))
-    joined = docs.join(covered, docs["doc_id"] == covered[key], "left").drop(key)
+    own = free_name(docs.columns, "_own")
+    covered = found.groupBy(F.col("doc_id").alias(key), F.col("body").alias(own)).agg(
+        F.collect_set(F.struct("first", "size")).alias(listed)
+    )
+    same = (docs["doc_id"] == covered[key]) & (F.xxhash64(docs["text"]) == covered[own])
+    joined = docs.join(covered, same, "left").drop(key, own)
     kinds = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in docs.schema)
     return joined.mapInArrow(_cleaned(docs.columns, count), f"{kinds}, `{count}` long")

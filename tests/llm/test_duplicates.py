@@ -226,3 +226,22 @@ def test_parts_have_at_most_longest_words():
             parts = spans.sentences(text)
             assert "".join(parts) == text
             assert max(len(x.split()) for x in parts) <= spans.LONGEST
+
+
+def test_equal_rows_keep_the_first_place(spark):
+    own = "Nothing of this is said by any other row at all. It has words. And it ends here with some more words now."
+    rows = [(2, f"Of two. {PASSAGE}"), (2, f"Of two. {PASSAGE}"), (3, PASSAGE), (4, f"{PASSAGE} {PASSAGE}")] * 2
+    rows += [(3, own), (None, "No id at all. " * 9), (None, "No id at all. " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 11):
+        found = [(x.doc_id, x.text) for x in spans.without_repeats(docs.repartition(parts)).collect()]
+        want = [(2, rows[0][1])] * 4 + [(3, "")] * 2 + [(4, "")] * 2 + [(3, own)] + rows[-2:]
+        assert sorted(found, key=str) == sorted(want, key=str)
+
+
+def test_one_of_wholly_repeated_rows_stays(spark):
+    rows = [(2, "a b", "x"), (2, "a b", "x"), (1, "a b", "x"), (4, "c", "x"), (None, "d", "x"), (None, "d", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _sha string").repartition(3)
+    left = recipes.drop_copies(docs)
+    assert left.columns == docs.columns
+    assert sorted(map(str, (tuple(x) for x in left.collect()))) == sorted(map(str, [rows[0], rows[3], rows[4]]))

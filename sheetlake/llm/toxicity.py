@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-At most ``SAMPLE`` labelled documents are the examples.  The vocabulary is what
-their labels depend on: terms whose chi-square statistic in the sample is at least
-``LEAST_CHI2``, the ``TERMS`` largest.  Document frequencies come from all documents.
+At most ``SAMPLE`` labelled documents are the examples.  The vocabulary is all of
+their terms.  Document frequencies come from all documents; a term weighs
+more the more the labels of the sample depend on it (one plus the root of its chi-square statistic).
 The index holds the examples' postings in blocks, and for every term and block
 the largest weight.  A query visits blocks in the order of their upper bounds and stops
 when no other can reach its nearest ``NEIGHBOURS``, so the result is that of a full comparison.
@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from sheetlake.llm.labelled import crc_mod, sample_labels, sample_texts
@@ -22,8 +23,6 @@ from sheetlake.llm.ship import ship
 from sheetlake.llm.words import each_text
 
 SAMPLE = 8_000
-TERMS = 512
-LEAST_CHI2 = 30.0
 NEIGHBOURS = 15
 BLOCK = 64
 SOFT = 0.05
@@ -42,40 +41,21 @@ def term_hashes(texts: list[str | None]) -> Iterator[np.ndarray]:
         yield words.view(np.int64)
 
 
-def _present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many texts of a batch have each term, by label."""
-    for batch in batches:
-        labels = batch.column(1).to_pylist()
-        terms = [np.unique(x) for x in term_hashes(batch.column(0).to_pylist())]
-        for label in set(labels):
-            found, counts = np.unique(np.concatenate([t for t, x in zip(terms, labels) if x == label]), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found), pa.array([label] * len(found), pa.int32()), pa.array(counts, pa.int64())],
-                ["term", "label", "n"],
-            )
-
-
-def select_terms(sample: DataFrame, most: int = TERMS) -> np.ndarray:
-    """The terms on which the label of the sample depends most, as a sorted array."""
-    totals = {x.label: x.n for x in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ones, zeros = totals.get(1, 0), totals.get(0, 0)
-    if not ones or not zeros:
-        return np.zeros(0, np.int64)
-    a = F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).cast("double")
-    b = F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).cast("double")
-    counts = sample.select("text", "label").mapInArrow(_present, "term long, label int, n long").groupBy("term").agg(
-        a.alias("a"), b.alias("b")
-    )
-    a, b, n = F.col("a"), F.col("b"), ones + zeros
-    cross = a * zeros - b * ones
+def dependence(n_terms: int, examples: list[tuple[int, int, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The chi-square statistic of each term and the label of the examples; 0 with one label only."""
+    labels = np.array([x[1] for x in examples])
+    ones, n = int((labels == 1).sum()), len(labels)
+    zeros = n - ones
+    a, b = np.zeros(n_terms), np.zeros(n_terms)
+    for _, label, places, _ in examples:
+        (a if label == 1 else b)[places] += 1
     spread = (a + b) * (n - a - b) * ones * zeros
-    chi2 = F.when(spread > 0, cross * cross * n / spread).otherwise(0.0)
-    best = counts.withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2)
-    return np.sort(np.array([x.term for x in best.orderBy(F.desc("chi2"), "term").limit(most).collect()], np.int64))
+    return np.divide((a * zeros - b * ones) ** 2 * n, spread, out=np.zeros(n_terms), where=spread > 0)
 
 
-def _frequencies(terms: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _frequencies(known: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = known.value
         counts, n = np.zeros(len(terms) + 1, np.int64), 0
         for batch in batches:
             for words in term_hashes(batch.column(0).to_pylist()):
@@ -83,7 +63,8 @@ def _frequencies(terms: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iter
                 counts[places] += 1
             n += batch.num_rows
         counts[-1] = n
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(counts))), pa.array(counts)], ["place", "n"])
+        filled = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array(counts[filled])], ["place", "n"])
 
     return work
 
@@ -106,21 +87,35 @@ class Index:
         self.labels = np.array([labels[k] for k in order], np.float64)
         self.terms = terms
         self.blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.largest = np.zeros((-(-len(order) // BLOCK), terms))
-        for k in range(len(self.largest)):
+        self.n_blocks = -(-len(order) // BLOCK)
+        tops: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for k in range(self.n_blocks):
             own = [vectors[x] for x in order[k * BLOCK : (k + 1) * BLOCK]]
             term = np.concatenate([x[0] for x in own])
             row = np.repeat(np.arange(len(own)), [len(x[0]) for x in own])
             weight = np.concatenate([x[1] for x in own])
             by_term = np.argsort(term, kind="stable")
-            self.blocks.append((term[by_term], row[by_term], weight[by_term]))
-            np.maximum.at(self.largest[k], term, weight)
+            self.blocks.append((term[by_term].astype(np.int32), row[by_term].astype(np.int16), weight[by_term]))
+            first = np.flatnonzero(np.diff(term[by_term], prepend=-1))
+            if len(first):
+                tops.append((term[by_term][first], np.full(len(first), k), np.maximum.reduceat(weight[by_term], first)))
+        top = [np.concatenate([x[k] for x in tops]) if tops else np.zeros(0, np.int64) for k in range(3)]
+        by_term = np.argsort(top[0], kind="stable")
+        self.top_block, self.top_weight = top[1][by_term].astype(np.int32), top[2][by_term].astype(np.float64)
+        self.top_start = np.searchsorted(top[0][by_term], np.arange(terms + 1))
+
+    def bounds(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """For every block what no cosine in it exceeds."""
+        sizes = self.top_start[terms + 1] - self.top_start[terms]
+        skipped = np.cumsum(sizes) - sizes
+        at = np.arange(sizes.sum()) + np.repeat(self.top_start[terms] - skipped, sizes)
+        return np.bincount(self.top_block[at], self.top_weight[at] * np.repeat(weights, sizes), self.n_blocks)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers and cosines of the k nearest examples with a cosine over 0; equal ones by row number."""
         query = np.zeros(self.terms)
         query[terms] = weights
-        bounds = self.largest[:, terms] @ weights
+        bounds = self.bounds(terms, weights)
         rows, cosines, worst = np.zeros(0, np.int64), np.zeros(0), 0.0
         for b in np.argsort(-bounds, kind="stable"):
             if bounds[b] <= 0 or (len(rows) >= k and bounds[b] < worst - 1e-12):
@@ -140,7 +135,8 @@ class Scorer:
     """The fitted index with term weights and calibration."""
 
     def __init__(self, terms: np.ndarray, idf: np.ndarray, examples: list[tuple[int, int, np.ndarray, np.ndarray]]) -> None:
-        self.terms, self.idf = terms, idf
+        self.terms = terms
+        self.weight = idf * (1 + np.sqrt(dependence(len(terms), examples)))
         vectors = [self.vector(places, counts) for _, _, places, counts in examples]
         labels = np.array([x[1] for x in examples], np.float64)
         filled = [k for k, x in enumerate(vectors) if len(x[0])]
@@ -154,7 +150,7 @@ class Scorer:
             self.slope, self.shift = calibrate(np.array([_logit(v) for v in votes]), labels[filled])
 
     def vector(self, places: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        weights = (1 + np.log(counts)) * self.idf[places]
+        weights = (1 + np.log(counts)) * self.weight[places]
         keep = weights > 0
         weights = weights[keep]
         norm = np.sqrt((weights**2).sum())
@@ -184,41 +180,45 @@ def _logit(vote: float) -> float:
     return float(np.log(vote / (1 - vote)))
 
 
-def _example_rows(terms: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [term_counts(x, terms) for x in term_hashes(batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(2),
-                    pa.array([x[0] for x in found], pa.list_(pa.int64())),
-                    pa.array([x[1] for x in found], pa.list_(pa.int64())),
-                ],
-                ["doc_id", "label", "places", "counts"],
-            )
-
-    return work
+def _example_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The terms of each example and how often it has them, as bytes."""
+    for batch in batches:
+        found = [np.unique(x, return_counts=True) for x in term_hashes(batch.column(1).to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                batch.column(2),
+                pa.array([x[0].astype("<i8").tobytes() for x in found], pa.binary()),
+                pa.array([x[1].astype("<i4").tobytes() for x in found], pa.binary()),
+            ],
+            ["doc_id", "label", "terms", "counts"],
+        )
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Scorer:
-    """Learn from at most ``rows`` of the labels; document frequencies of at most ``TERMS`` terms from all of ``docs``."""
+    """Learn from at most ``rows`` of the labels; document frequencies of their terms from all of ``docs``."""
     picked = sample_labels(labels.withColumn("toxic", F.col("toxic").cast("int")), "toxic", rows)
     sample = sample_texts(docs, picked).select("doc_id", "text", F.col("label").cast("int").alias("label"))
     sample = sample.dropDuplicates(["doc_id"])
-    terms = select_terms(sample)
-    counts = docs.select(F.col("text").cast("string")).mapInArrow(_frequencies(terms), "place long, n long")
+    found = sample.mapInArrow(_example_rows, "doc_id long, label int, terms binary, counts binary").collect()
+    said = [np.frombuffer(x.terms, "<i8") for x in found]
+    terms = np.unique(np.concatenate([np.zeros(0, np.int64), *said]))
+    known = docs.sparkSession.sparkContext.broadcast(terms)
+    counts = docs.select(F.col("text").cast("string")).mapInArrow(_frequencies(known), "place long, n long")
+    summed = counts.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(len(terms) + 1)
-    for row in counts.groupBy("place").agg(F.sum("n").alias("n")).collect():
-        df[row.place] = row.n
+    df[summed.column("place").to_numpy()] = summed.column("n").to_numpy()
     idf = np.log((1 + df[-1]) / (1 + df[:-1]))
-    found = sample.mapInArrow(_example_rows(terms), "doc_id long, label int, places array<long>, counts array<long>").collect()
-    examples = [(x.doc_id, x.label, np.array(x.places, np.int64), np.array(x.counts, np.int64)) for x in found]
+    examples = [
+        (x.doc_id, x.label, np.searchsorted(terms, own), np.frombuffer(x.counts, "<i4").astype(np.int64))
+        for x, own in zip(found, said)
+    ]
     return Scorer(terms, idf, sorted(examples, key=lambda x: x[0]))
 
 
-def _score(scorer: Scorer) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _score(fitted: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = fitted.value
         for batch in batches:
             found = [scorer.score(x) for x in term_hashes(batch.column(2).to_pylist())]
             scores = [x[0] for x in found]
@@ -240,13 +240,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFram
     """doc_id, held_out, score, predicted and the evidence for every row of ``docs(doc_id, text)``.
 
     Labels are learned from documents that are not held out and have one distinct label.  A
-    text that is null, or has no term of the vocabulary, scores the rate of such
+    text that is null, or has no term of any example, scores the rate of such
     examples; without any usable label every score is 0.  Null ids are held out;
     repeated rows are scored one by one; other columns are ignored.
     """
     ship(docs.sparkSession)
     held_out = F.coalesce(crc_mod(F.col("doc_id").cast("long"), 5) == 0, F.lit(True))
-    scorer = fit(docs, labels.where(~held_out), rows)
+    scorer = docs.sparkSession.sparkContext.broadcast(fit(docs, labels.where(~held_out), rows))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string"))
     return texts.mapInArrow(_score(scorer), SCORED)
 

@@ -185,3 +185,17 @@ def test_calibration_orders_and_bounds():
     assert slope > 0
     p = quality._sigmoid(slope * logits + shift)
     assert abs(p.mean() - labels.mean()) < 0.05
+
+
+def test_examples_are_found_by_any_of_their_terms(spark):
+    pick = random.Random(7)
+    letters = str.maketrans("0123456789", "abcdefghij")
+    docs = [(k, " ".join(f"rare{k}x{i}".translate(letters) for i in range(5)) + " " + pick.choice(["day", "night"])) for k in range(1, 200)]
+    labels = [(k, int(k % 10 == 1), 1) for k, _ in docs]
+    learned = [(k, x) for k, x in docs if zlib.crc32(str(k).encode()) % 5]
+    copies = [(1000 + k, text) for k, text in learned]
+    docs = spark.createDataFrame(docs + copies, "doc_id long, text string")
+    found = {x.doc_id: x for x in toxicity.toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int, quality int")).collect()}
+    for k, _ in learned:
+        assert found[1000 + k].neighbours[0] == k
+        assert abs(found[1000 + k].similarities[0] - 1) < 1e-9

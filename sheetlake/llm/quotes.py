@@ -4,7 +4,9 @@ A line's quote level is the number of ``>`` marks in front of it.  Neighbouring
 lines of one level form a passage.  Passages are compared by a hash of their
 normalised text (white space collapsed, A-Z in lower case).  What a message
 says itself (level 0) can be found whole, by passage, by paragraph or by line; a quoted
-passage links to the latest earlier message of the conversation that says it.
+passage links to the latest earlier message of the conversation that says it.  An excerpt
+that no message says as such a whole links to the latest earlier message that says
+all of its lines, all sentences of its lines, or all sentences of its paragraphs.
 """
 
 from __future__ import annotations
@@ -80,6 +82,47 @@ def body(parts: Column) -> Column:
     return F.regexp_replace(F.array_join(_own(parts), "\n"), r"\A[ \t-\r]+|[ \t-\r]+\z", "")
 
 
+def _units(text: Column) -> list[Column]:
+    """Three ways to take a text apart: lines, sentences of lines, sentences of paragraphs; each an array of hashes."""
+    lines = F.split(text, "\n")
+    paragraphs = F.transform(F.split(text, "\\n[ \\t-\\r]*\\n"), _normal)
+    sentences = [F.flatten(F.transform(x, lambda y: F.split(y, "(?<=[.!?])[ \\t-\\r]+"))) for x in (lines, paragraphs)]
+    filled = [F.filter(F.transform(x, _normal), lambda y: y != "") for x in (lines, *sentences)]
+    return [F.array_sort(F.array_distinct(F.transform(x, lambda y: F.sha2(y, 256)))) for x in filled]
+
+
+def excerpts(keyed: DataFrame, lost: DataFrame) -> DataFrame:
+    """(conv_id, turn, level, origin): earlier turns that say all units of a passage ``lost(conv_id, turn, level, units)``.
+
+    Candidates come from the unit that the fewest messages of the conversation say.
+    """
+    key = ["conv_id", "turn", "level", "unit_set"]
+    sets = lost.select("conv_id", "turn", "level", F.explode("units").alias("units")).where(F.size("units") > 0)
+    sets = sets.withColumn("unit_set", F.sha2(F.concat_ws(" ", "units"), 256)).distinct()
+    units = written(sets.select(*key, F.size("units").alias("n"), F.explode("units").alias("hash")), "units")
+    own = F.transform(_own(F.col("_parts")), lambda x: F.concat(*_units(x)))
+    said = keyed.select("conv_id", F.col("turn").alias("origin"), F.explode(F.array_distinct(F.flatten(own))).alias("hash"))
+    wanted = units.select("conv_id", "hash").distinct()
+    origins = written(said.join(wanted, ["conv_id", "hash"], "left_semi").distinct(), "unit_origins")
+    known = origins.groupBy("conv_id", "hash").agg(F.count(F.lit(1)).alias("_messages"))
+    rarest = (
+        units.join(known, ["conv_id", "hash"])
+        .groupBy(*key, "n")
+        .agg(F.min(F.struct("_messages", "hash")).alias("_least"), F.count(F.lit(1)).alias("_known"))
+        .where("_known = n")
+        .select(*key, F.col("_least.hash").alias("hash"))
+    )
+    candidates = rarest.join(origins, ["conv_id", "hash"]).where("origin < turn").drop("hash")
+    return (
+        candidates.join(units, key)
+        .join(origins, ["conv_id", "origin", "hash"])
+        .groupBy(*key, "origin", "n")
+        .agg(F.count(F.lit(1)).alias("_said"))
+        .where("_said = n")
+        .select("conv_id", "turn", "level", "origin")
+    )
+
+
 def links(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, reply_to, quote_level): the latest earlier turn that a message quotes.
 
@@ -110,11 +153,14 @@ def links(messages: DataFrame) -> DataFrame:
         F.col("_part.level").alias("level"),
         F.sha2(_normal(F.col("_part.text")), 256).alias("hash"),
         (_normal(F.col("_part.text")) == "").alias("_blank"),
+        F.array(*_units(F.col("_part.text"))).alias("units"),
     )
     quoted = written(quoted.where("not _blank").drop("_blank").distinct(), "quoted")
     wanted = quoted.select("conv_id", "hash").distinct()
     origins = said.join(wanted, ["conv_id", "hash"], "left_semi").distinct()
     found = quoted.join(origins, ["conv_id", "hash"]).where("origin < turn")
+    lost = quoted.join(found.select("conv_id", "turn", "level", "hash"), ["conv_id", "turn", "level", "hash"], "left_anti")
+    found = found.select("conv_id", "turn", "level", "origin").unionByName(excerpts(keyed, lost))
     latest = found.groupBy("conv_id", "turn", "level").agg(F.max("origin").alias("origin"))
     best = latest.groupBy("conv_id", "turn").agg(F.min("level").alias("level"))
     return latest.join(best, ["conv_id", "turn", "level"]).select(

@@ -56,3 +56,18 @@ def test_replies_follow_what_they_quote(spark):
         database.register("given", frame.astype({"conv_id": "Int64", "turn": "Int64"}))
         database.sql("CREATE VIEW conversations AS SELECT conv_id::BIGINT conv_id, turn::BIGINT turn, role, text FROM given")
         assert plain(database.sql(OP10).df()) == plain(found)
+
+
+def test_excerpts_link_to_the_latest_message_that_says_all_of_them(spark):
+    origin = "First line here\nsecond line here\nthird line here\n\nA sentence one. And sentence two! Then three.\n\nLast\nparagraph. It ends."
+    quotes = {
+        2: "> First line here\n> second line here\na",
+        3: "> And sentence two!\nb",
+        4: "> third line here\n>\n> A sentence one. And sentence two! Then three.\nc",
+        5: "> Last paragraph.\nd",
+        6: "> First line here\n> never said\ne",
+    }
+    rows = [(1, 0, "user", origin), (1, 1, "user", "First line here\nother")] + [(1, k, "user", x) for k, x in quotes.items()]
+    rows.append((1, 7, "user", "second line here\nFirst line here"))
+    found = {x.turn: x.reply_to for x in conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert found == {0: None, 1: None, 2: 0, 3: 0, 4: 0, 5: 0, 6: None, 7: None}

@@ -37,8 +37,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, limit: int = SEQUEN
         encode, end = encoder(tokenizer, cached=CACHED), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode.encode(text.as_py() or "") + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode.all_ids(batch.column(1))):
+                ids += end
                 for first in range(0, len(ids), 4 * limit):
                     some = ids[first : first + 4 * limit]
                     out.append((doc_id, first // (4 * limit), first // 4, len(some) // 4, zlib.crc32(some)))

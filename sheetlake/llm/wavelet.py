@@ -175,8 +175,8 @@ def write_token_shards(
         ids: list[bytes] = []
         keys: list[int | None] = []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids.append(encode.encode(text.as_py() or "") + end)
+            for doc_id, found in zip(batch.column(0).to_pylist(), encode.all_ids(batch.column(1))):
+                ids.append(found + end)
                 keys.append(doc_id)
                 size += len(ids[-1])
                 if size >= shard_tokens * len(end):

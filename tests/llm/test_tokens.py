@@ -9,9 +9,10 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from sheetlake.llm import packing, rankcoder, wavelet
+from sheetlake.llm import encode, packing, rankcoder, wavelet
 from sheetlake.llm.encode import encoder
 
 tiktoken = pytest.importorskip("tiktoken")
@@ -168,3 +169,17 @@ def test_stitched_chunks_match_the_library(spark, chunk, overlap):
         want.append((str(doc_id), len(ids), *digests))
     found = rankcoder.encoded_digests(docs, RANKS, public_tokenizers.PATTERN, chunk, overlap).collect()
     assert sorted((str(x[0]), *x[1:]) for x in found) == sorted(want)
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+@pytest.mark.parametrize("block", [encode.BLOCK_BYTES, 50])
+def test_blocks_of_texts_give_the_ids_of_the_whole_texts(path, block, monkeypatch):
+    monkeypatch.setattr(encode, "BLOCK_BYTES", block)
+    whole, parts, said = tokenizers.Tokenizer.from_file(path), encode.PieceEncoder(path, cached=200), texts(1500, 25)
+    ids = list(parts.all_ids(pa.array(said, pa.string())))
+    counts = list(parts.all_counts(pa.array(said, pa.string())))
+    for text, own, n in zip(said, ids, counts, strict=True):
+        known = whole.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(own, "<u4").tolist() == known and n == len(known)
+    assert list(parts.all_counts(pa.array(said, pa.string()).slice(5, 7))) == counts[5:12]
+    assert list(parts.all_ids(pa.array([], pa.string()))) == []

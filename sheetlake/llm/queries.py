@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sheetlake.llm import chosenpath, language, packing, quality, quotes, rankcoder, recipes, spans, toxicity, wavelet
+from sheetlake.llm import (
+    chosenpath,
+    language,
+    packing,
+    quality,
+    quotes,
+    rankcoder,
+    recipes,
+    spans,
+    tokencounts,
+    toxicity,
+    wavelet,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,5 +76,24 @@ def op10_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.conversations(table(spark, folder, "conversations"))
 
 
+def op13_digest_cache(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencounts.token_counts(table(spark, folder, "documents"), BYTE_BPE)
+
+
+QUERIES = (
+    op1_wavelet_shards,
+    op2_chosen_path,
+    op3_certified_packing,
+    op4_rank_profiles,
+    op5_nearest_examples,
+    op6_hashed_regression,
+    op7_sentence_spans,
+    op8_chunk_recipes,
+    op9_stitched_chunks,
+    op10_quotation_linking,
+    op13_digest_cache,
+)
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_wavelet_shards, op2_chosen_path, op3_certified_packing, op4_rank_profiles, op5_nearest_examples, op6_hashed_regression, op7_sentence_spans, op8_chunk_recipes, op9_stitched_chunks, op10_quotation_linking)}
+    return {f.__name__: f for f in QUERIES}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sheetlake.llm import (
     chosenpath,
+    hardnegatives,
     language,
     packing,
     quality,
@@ -76,6 +77,10 @@ def op10_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.conversations(table(spark, folder, "conversations"))
 
 
+def op11_coordinate_pruning(spark: SparkSession, folder: str) -> DataFrame:
+    return hardnegatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
 def op13_digest_cache(spark: SparkSession, folder: str) -> DataFrame:
     return tokencounts.token_counts(table(spark, folder, "documents"), BYTE_BPE)
 
@@ -91,6 +96,7 @@ QUERIES = (
     op8_chunk_recipes,
     op9_stitched_chunks,
     op10_quotation_linking,
+    op11_coordinate_pruning,
     op13_digest_cache,
 )
 

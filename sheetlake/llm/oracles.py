@@ -134,10 +134,58 @@ QUALIFY rank <= 5
 """
 
 
+OP12 = """
+WITH crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS steps
+), turns AS MATERIALIZED (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place,
+         {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said
+  FROM conversations WHERE conv_id IS NOT NULL
+), lists AS MATERIALIZED (
+  SELECT conv_id, list(said ORDER BY place) AS own FROM turns GROUP BY conv_id
+), heads AS (
+  SELECT conv_id, own, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda x, y: xor(x >> 8, steps[(xor(x, y) & 255) + 1])), 4294967295) % 6 AS h
+  FROM lists, crc
+), whole AS MATERIALIZED (
+  SELECT a.conv_id, list_concat(coalesce(b.own, [])[1:a.h], a.own[a.h + 1:]) AS said
+  FROM heads a LEFT JOIN lists b ON b.conv_id = a.base
+), steps AS MATERIALIZED (
+  SELECT conv_id, depth, said[1:depth] AS prefix, len(said) = depth AS ends
+  FROM (SELECT *, unnest(range(len(said) + 1)) AS depth FROM whole)
+), nodes AS MATERIALIZED (
+  SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id) AS ended
+  FROM steps GROUP BY depth, prefix
+), linked AS MATERIALIZED (
+  SELECT n.*, p.conv_id AS parent_conv_id
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]
+), children AS (
+  SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY ALL
+), full_nodes AS MATERIALIZED (
+  SELECT l.*, coalesce(c.n_children, 0) AS n_children,
+         CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(prefix[-1].text) END AS saved
+  FROM linked l LEFT JOIN children c USING (conv_id, depth)
+), above AS (
+  SELECT n.conv_id, n.depth, a.conv_id AS top_id, a.depth AS top_depth, n.n_children, n.saved
+  FROM full_nodes n JOIN steps s ON s.conv_id = n.conv_id AND s.depth <= n.depth
+  JOIN nodes a ON a.depth = s.depth AND a.prefix = s.prefix
+), sums AS (
+  SELECT top_id AS conv_id, top_depth AS depth, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM above GROUP BY ALL
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ended, '')) AS ends_sha256
+FROM full_nodes JOIN sums USING (conv_id, depth)
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op2_chosen_path": OP2,
         "op8_chunk_recipes": OP8,
         "op10_quotation_linking": OP10,
         "op11_coordinate_pruning": OP11,
+        "op12_prefix_trie": OP12,
     }

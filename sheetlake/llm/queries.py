@@ -12,6 +12,7 @@ from sheetlake.llm import (
     hardnegatives,
     language,
     packing,
+    prefixtrie,
     quality,
     quotes,
     rankcoder,
@@ -81,6 +82,10 @@ def op11_coordinate_pruning(spark: SparkSession, folder: str) -> DataFrame:
     return hardnegatives.hard_negatives(table(spark, folder, "embeddings"))
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.prefix_trie(table(spark, folder, "conversations"))
+
+
 def op13_digest_cache(spark: SparkSession, folder: str) -> DataFrame:
     return tokencounts.token_counts(table(spark, folder, "documents"), BYTE_BPE)
 
@@ -97,6 +102,7 @@ QUERIES = (
     op9_stitched_chunks,
     op10_quotation_linking,
     op11_coordinate_pruning,
+    op12_prefix_trie,
     op13_digest_cache,
 )
 

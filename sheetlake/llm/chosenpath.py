@@ -35,7 +35,7 @@ NODE_ROWS = 4096
 UNIT_BYTES = 32 << 20
 TILE = 256
 
-SIGNED = "doc_id long, n_shingles long, set_key binary, roots array<long>, sketch binary"
+SIGNED = "doc_id long, body string, n_shingles long, set_key binary, roots array<long>, sketch binary"
 
 
 def passing(percent: int) -> int:
@@ -86,12 +86,13 @@ def _signer(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(counts, pa.int64()),
                     pa.array(keys, pa.binary()),
                     pa.array(roots, pa.list_(pa.int64())),
                     pa.array(sketches, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "set_key", "roots", "sketch"],
+                ["doc_id", "body", "n_shingles", "set_key", "roots", "sketch"],
             )
 
     return sign
@@ -229,8 +230,10 @@ def _set_rows(size: int, wanted: Broadcast) -> Callable:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(maybe_in(wanted.value, batch.column(0).to_numpy())))
-            sets = [x.tobytes() for x in shingle_sets(batch.column(1).to_pylist(), size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "members"])
+            sets = list(shingle_sets(batch.column(1).to_pylist(), size))
+            keys = pa.array([set_key(x) if len(x) else None for x in sets], pa.binary())
+            members = pa.array([x.tobytes() for x in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), keys, members], ["doc_id", "set_key", "members"])
 
     return work
 
@@ -241,15 +244,18 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFram
     Texts are read again for the full sets, and only those that a filter of
     fixed size lets through leave their place.
     """
-    near = crowds(reps, percent)
-    wanted = docs.sparkSession.sparkContext.broadcast(key_filter(near.select("rep")))
+    found = crowds(reps.select("rep", "roots", "sketch"), percent)
+    near = found.join(reps.select("rep", "doc_id", "set_key"), "rep")
+    wanted = docs.sparkSession.sparkContext.broadcast(key_filter(near.select("doc_id")))
     sets = (
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         .where("doc_id is not null")
-        .mapInArrow(_set_rows(size, wanted), "rep long, members binary")
+        .mapInArrow(_set_rows(size, wanted), "doc_id long, set_key binary, members binary")
+        .groupBy("doc_id", "set_key")
+        .agg(F.first("members").alias("members"))
     )
     with Scratch(docs.sparkSession) as scratch:
-        rows = scratch.written(near.join(sets, "rep"), "sets")
+        rows = scratch.written(near.join(sets, ["doc_id", "set_key"]).drop("doc_id", "set_key"), "sets")
         blocks = rows.groupBy("crowd").agg(
             F.ceil(F.sum(F.octet_length("members") + 200) / UNIT_BYTES).cast("long").alias("_blocks")
         )
@@ -257,6 +263,36 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFram
         return written(by_key(units, "unit", _compare_sets(passing(percent), percent), "a long, b long"), "links")
 
 
+def verdicts(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, body, n_shingles, component_id, kept for every row of ``docs``; ``body`` is the SHA-256 of the text.
+
+    What is linked are classes of equal sets, each with a number of its own, so
+    different texts of one ``doc_id`` are never taken for each other.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    body = F.sha2(F.col("text"), 256).alias("body")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    signed = written(texts.select("*", body).mapInArrow(_signer(size), SIGNED), "signed")
+    able = signed.where("doc_id is not null and set_key is not null")
+    # The numbers are written with the classes, so every later reader sees the same ones.
+    least = able.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
+    classes = written(least.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    reps = able.select("set_key", "doc_id", "roots", "sketch").join(classes, ["set_key", "doc_id"]).dropDuplicates(["rep"])
+    reps = written(reps, "reps")
+    labels = components(links(docs, reps, size, percent))
+    linked = classes.join(labels.withColumnRenamed("id", "rep"), "rep")
+    named = linked.join(linked.groupBy("component").agg(F.min("doc_id").alias("_component")), "component")
+    own = F.when(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull(), F.coalesce("_component", "_least"))
+    found = classes.select("set_key", F.col("doc_id").alias("_least"), "rep").join(
+        written(named.select("rep", "_component"), "named"), "rep", "left"
+    )
+    rows = signed.drop("roots", "sketch").join(found.drop("rep"), "set_key", "left").withColumn(
+        "component_id", F.coalesce(own, F.col("doc_id"))
+    )
+    return rows.select("doc_id", "body", "n_shingles", "component_id", F.col("component_id").eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs(doc_id, text)``.
 
@@ -265,30 +301,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     a component is what links connect, and its smallest ``doc_id`` is kept.  A text
     that is null, empty or blank has an empty set and is linked with nothing.
     A row without ``doc_id`` is linked with nothing: its component is null and it is
-    kept.  Rows that repeat an id share its component.  An empty table gives no rows; other
-    columns are ignored.
+    kept.  Rows of one ``doc_id`` with different texts are documents of their own, each with the component of its text; rows
+    that repeat both share one verdict.  An empty table gives no rows; other columns are ignored.
     """
-    ship(docs.sparkSession)
-    signed = written(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_signer(size), SIGNED), "signed"
-    )
-    able = signed.where("doc_id is not null and set_key is not null")
-    classes = written(able.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = able.join(
-        classes.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi"
-    ).select(F.col("doc_id").alias("rep"), "roots", "sketch")
-    found = links(docs, reps, size, percent)
-    labels = components(found)
-    named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "set_key", F.coalesce("component", "rep").alias("_component")
-    )
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
-    return signed.join(written(named, "named"), "set_key", "left").select(
-        "doc_id", "n_shingles", own.alias("component_id"), own.eqNullSafe(F.col("doc_id")).alias("kept")
-    )
+    return verdicts(docs, size, percent).drop("body")
 
 
 def drop_near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` of which one per component stays, with all their columns."""
-    gone = near_duplicates(docs, size, percent).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` of which one per component stays, with all their columns.
+
+    A row goes by the verdict on its own text.  Several texts of the ``doc_id`` that stays, if near copies of each other, all stay.
+    """
+    gone = verdicts(docs, size, percent).where("not kept").select(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).distinct()
+    same = (docs["doc_id"].cast("long") == gone["_id"]) & F.sha2(docs["text"].cast("string"), 256).eqNullSafe(gone["_body"])
+    return docs.join(gone, same, "left_anti")

@@ -222,11 +222,12 @@ def prefix_trie(conversations: DataFrame, limit: int = LIMIT) -> DataFrame:
         )
         sums = subtree_sums(own, ["n_leaves", "saved_tokens"], limit)
         below = sums.join(full.where("depth = 1").select("node"), "node", "left_semi")
-        total = below.agg(
+        # Named like every prefix of depth 0; without conversations it meets no node.
+        root = below.agg(
+            _name(F.lit(0), [F.lit(0)] * len(PARTS)).alias("node"),
             F.greatest(F.coalesce(F.sum("n_leaves"), F.lit(0)), F.lit(1)).alias("n_leaves"),
             F.coalesce(F.sum("saved_tokens"), F.lit(0)).alias("saved_tokens"),
         )
-        root = full.where("depth = 0").select("node").join(total)
         ends = end_digests(rows.where("ends"))
         return written(
             full.join(sums.unionByName(root), "node")

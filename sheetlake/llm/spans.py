@@ -42,37 +42,48 @@ def chosen(words: list[str]) -> list[int]:
     return [k for k, x in enumerate(keys) if x in least]
 
 
-def sentences(text: str) -> list[str]:
-    """Consecutive parts of a text; together they are the text."""
-    out = []
+def parts(text: str) -> Iterator[tuple[str, list[str]]]:
+    """Consecutive parts of a text with their normalised words; together they are the text."""
     for match in _SENTENCE.finditer(text):
         part = match.group()
         words = part.lower().split()
-        if len(words) > LONGEST:
-            ends = [x.end() for x in _WORD.finditer(part)]
-            cuts = [0, *(ends[k] for k in chosen(words) if k < len(words) - 1), len(part)]
-            out.extend(part[a:b] for a, b in zip(cuts, cuts[1:]))
-        elif part:
-            out.append(part)
-    return out
-
-
-def spans(parts: list[str]) -> Iterator[tuple[int, int, bytes]]:
-    """First sentence, number of sentences and hash of each span.  Blank sentences don't count, but are covered."""
-    words = [(k, x.lower().split()) for k, x in enumerate(parts)]
-    filled = [(k, x) for k, x in words if x]
+        if len(words) <= LONGEST:
+            if part:
+                yield part, words
+            continue
+        ends = [x.end() for x in _WORD.finditer(part)]
+        first, begin = 0, 0
+        # Lower case may hold other white space than the text itself.
+        alike = len(ends) == len(words)
+        for k in chosen(words):
+            if k < len(words) - 1:
+                some = part[begin : ends[k]]
+                yield some, words[first : k + 1] if alike else some.lower().split()
+                first, begin = k + 1, ends[k]
+        some = part[begin:]
+        yield some, words[first:] if alike else some.lower().split()
+
+
+def sentences(text: str) -> list[str]:
+    """Consecutive parts of a text; together they are the text."""
+    return [x for x, _ in parts(text)]
+
+
+def spans(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """First part, number of parts and hash of each span.  Blank parts don't count, but are covered."""
+    filled = [(k, len(x), " ".join(x)) for k, (_, x) in enumerate(parts(text)) if x]
+    said = [x.encode("utf-8", "surrogatepass") for _, _, x in filled]
     last = 0
     total = 0
     for first in range(len(filled)):
         while last < len(filled) and (last - first < SENTENCES or total < WORDS):
-            total += len(filled[last][1])
+            total += filled[last][1]
             last += 1
         if last - first < SENTENCES or total < WORDS:
             return
-        run = filled[first:last]
-        said = " ".join(w for _, x in run for w in x)
-        yield run[0][0], run[-1][0] - run[0][0] + 1, hashlib.blake2b(said.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-        total -= len(filled[first][1])
+        digest = hashlib.blake2b(b" ".join(said[first:last]), digest_size=16).digest()
+        yield filled[first][0], filled[last - 1][0] - filled[first][0] + 1, digest
+        total -= filled[first][1]
 
 
 def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +97,7 @@ def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (doc_id, body) in known:
                 continue
             known.add((doc_id, body))
-            for first, size, digest in spans(sentences(text.as_py() or "")):
+            for first, size, digest in spans(text.as_py() or ""):
                 docs.append(doc_id)
                 bodies.append(body)
                 firsts.append(first)
@@ -167,9 +178,9 @@ def repeats(docs: DataFrame) -> DataFrame:
 
 def remove(text: str, covered: list[dict]) -> tuple[str, int, int]:
     """The text without covered sentences, their number, and the number of all sentences."""
-    parts = sentences(text)
+    known = sentences(text)
     gone = {k for x in covered for k in range(x["first"], x["first"] + x["size"])}
-    return "".join(x for k, x in enumerate(parts) if k not in gone), len(gone), len(parts)
+    return "".join(x for k, x in enumerate(known) if k not in gone), len(gone), len(known)
 
 
 def _cleaned(columns: list[str], count: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

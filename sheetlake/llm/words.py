@@ -3,16 +3,19 @@
 A word is a run of bytes other than space, tab, line feed, vertical tab, form
 feed and carriage return.  Its hash is a polynomial in a fixed odd base over random values
 per byte, modulo 2**64, taken from one running sum over the whole buffer, then
-mixed.  A text of any length is worked on in blocks.
+mixed.  Such polynomials have known collisions between long words, so words of more than
+``LONGEST_SUM`` bytes are hashed by BLAKE2b.  A text of any length is worked on in blocks.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 
 BLOCK_BYTES = 1 << 20
+LONGEST_SUM = 256
 
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -64,7 +67,10 @@ def hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_VALUES[raw] * up[: len(raw)], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * down[starts]
-    return starts, mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    hashes = mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    for k in np.flatnonzero(ends - starts > LONGEST_SUM).tolist():
+        hashes[k] = int.from_bytes(hashlib.blake2b(data[starts[k] : ends[k]], digest_size=8).digest(), "little")
+    return starts, hashes
 
 
 def pieces(text: bytes, size: int = BLOCK_BYTES) -> Iterator[bytes]:

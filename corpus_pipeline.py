@@ -7,8 +7,8 @@ result is written as Parquet and read back before the next one starts.
 Stage by stage: documents predicted to be toxic go; of equal texts (A-Z in
 lower case) the largest ``doc_id`` stays; of near copies (five-word shingles, similarity
 0.8 or more) the smallest ``doc_id`` stays; repeated passages are cut from all documents but the
-first; what is left is packed.  Null texts count as empty.  Rows without a ``doc_id`` are neither toxic
-nor near copies by decision, as nothing could name them, and stay.  Other columns, whatever their
+first; what is left is packed.  Null texts count as empty.  Every row is judged by its own text, also where several have one ``doc_id``; rows
+without a ``doc_id`` are never near copies of others.  Other columns, whatever their
 names, pass through the filtering stages untouched.  An empty table gives no rows.
 """
 

@@ -1,9 +1,15 @@
 """Keyword index and BM25 ranking as DataFrame jobs.
 
 The index is three tables: ``postings(parent_id, id, dl, term, tf)``, ``terms(term, df)`` and the
-one-row ``corpus(n_docs, avg_dl)``.  A lazy index has its postings spread by ``parent_id``, so the scores of
+one-row ``corpus(n_docs, avg_dl)``; a stored one has its postings in blocks (one term in chunks of similar
+length) and a fourth table, ``blocks(term, block, n, max_tf, min_dl)``.  A lazy index has its postings spread by ``parent_id``, so the scores of
 one document are added up where it lies.  A stored index has them in folders by a hash bucket of the
 term: a search reads the buckets of its terms only, and adds scores up after a shuffle of the matches.
+
+A search for the k best first scores the documents of each query's rarest terms.  The k-th of these
+scores is a threshold.  Within each length class, terms whose largest contributions together stay below it can't bring a
+document among the k best on their own: their blocks are left unread at first, and only documents that
+can still reach the threshold with them look them up.
 """
 
 from __future__ import annotations
@@ -11,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sheetlake.functions import fixed, tokens
 from sheetlake.functions.text import parent_id
@@ -30,33 +36,50 @@ SCORE_UNIT = 1e-12
 BUCKETS = 256
 
 
+# Length classes per doubling of a chunk's length.
+CLASSES = 4
+
+# Per result wanted: postings of rare terms read for the threshold, and documents scored in full for it.
+SEED_POSTINGS = 128
+SEED_DOCUMENTS = 8
+# The share of the threshold that blocks left for the end may reach together.  The less it is, the
+# more blocks are read at once, and the fewer documents look up the others.
+LATE = 0.65
+
+
 @dataclass(frozen=True)
 class KeywordIndex:
     postings: DataFrame
     terms: DataFrame
     corpus: DataFrame
     buckets: int = 0
+    blocks: DataFrame | None = None
 
     def save(self, path: str, buckets: int = BUCKETS) -> None:
-        """Write the three tables below a folder, postings in term buckets and sorted by term.
+        """Write the tables below a folder, postings in term buckets and sorted by term and block.
 
         Rows are rebalanced by bucket: a bucket with a hot term becomes several files.
         """
-        placed = self.postings.withColumn("bucket", bucket_of(F.col("term"), buckets)).hint("rebalance", "bucket")
-        placed.sortWithinPartitions("bucket", "term", "id").write.mode("overwrite").partitionBy("bucket").parquet(
+        placed = self.postings.withColumn("bucket", bucket_of(F.col("term"), buckets)).withColumn("block", length_class())
+        placed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "block", "id").write.mode("overwrite").partitionBy("bucket").parquet(
             f"{path}/postings"
         )
         self.postings.sparkSession.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(
             f"{path}/layout"
         )
         saved = self.postings.sparkSession.read.parquet(f"{path}/postings")
-        term_stats(saved).write.mode("overwrite").parquet(f"{path}/terms")
+        blocks = saved.groupBy("term", "block").agg(
+            F.count("*").alias("n"), F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl")
+        )
+        blocks.write.mode("overwrite").parquet(f"{path}/blocks")
+        blocks = self.postings.sparkSession.read.parquet(f"{path}/blocks")
+        blocks.groupBy("term").agg(F.sum("n").alias("df")).write.mode("overwrite").parquet(f"{path}/terms")
         self.corpus.write.mode("overwrite").parquet(f"{path}/corpus")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> KeywordIndex:
         tables = [spark.read.parquet(f"{path}/{part}") for part in ("postings", "terms", "corpus")]
-        return cls(*tables, spark.read.parquet(f"{path}/layout").head().buckets)
+        return cls(*tables, spark.read.parquet(f"{path}/layout").head().buckets, spark.read.parquet(f"{path}/blocks"))
 
     def postings_of(self, terms: DataFrame) -> DataFrame:
         """Postings that can hold any of the terms: of a stored index the folders of their buckets."""
@@ -70,6 +93,16 @@ def bucket_of(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def length_class() -> Column:
+    """The class of a chunk's length: a block holds the postings of one term and class."""
+    return F.floor(F.log2("dl") * CLASSES).cast("int")
+
+
+def impact(tf: Column, dl: Column, avg_dl: Column, k1: float = fixed.BM25_K1, b: float = fixed.BM25_B) -> Column:
+    """The part of a score that a term's count and the chunk's length decide; it grows with ``tf`` and falls with ``dl``."""
+    return tf / (tf + k1 * (1 - b + b * (dl / avg_dl)))
+
+
 def corpus_stats(chunks: DataFrame, tokenizer: Tokenizer = tokens.words) -> DataFrame:
     """Number of documents with any token and their average length."""
     lengths = chunks.select("id", F.size(tokenizer(F.col("contents"))).alias("dl")).filter(F.col("dl") > 0)
@@ -201,7 +234,14 @@ def weigh_terms(terms: DataFrame, index: KeywordIndex) -> DataFrame:
     """Query terms with their idf; terms outside the corpus drop out."""
     n, df = index.corpus.select("n_docs").scalar(), F.col("df")
     idf = F.log(1 + (n - df + 0.5) / (df + 0.5))
-    return terms.join(index.terms, "term").select("query_id", "term", "qtf", idf.alias("idf"))
+    return terms.join(index.terms, "term").select("query_id", "term", "qtf", idf.alias("idf"), "df")
+
+
+def term_units(avg_dl: Column, k1: float, b: float) -> Column:
+    """What one term adds to a score, in whole units."""
+    tf, relative = F.col("tf"), F.col("dl") / avg_dl
+    part = F.col("qtf") * F.col("idf") * tf / (tf + k1 * (1 - b + b * relative))
+    return F.floor(part / SCORE_UNIT + 0.5)
 
 
 def score_documents(
@@ -218,9 +258,7 @@ def score_documents(
     """
     small = is_small(terms) if small is None else small
     weighted = weigh_terms(terms, index)
-    tf, relative = F.col("tf"), F.col("dl") / index.corpus.select("avg_dl").scalar()
-    part = F.col("qtf") * F.col("idf") * tf / (tf + k1 * (1 - b + b * relative))
-    units = F.floor(part / SCORE_UNIT + 0.5)
+    units = term_units(index.corpus.select("avg_dl").scalar(), k1, b)
     return (
         index.postings_of(terms).join(F.broadcast(weighted) if small else weighted, "term")
         .groupBy("parent_id", "query_id", "id")
@@ -229,6 +267,79 @@ def score_documents(
     )
 
 
+@dataclass(frozen=True)
+class Pruned:
+    """A search for the k best.  All but ``units`` are written tables."""
+
+    matched: DataFrame  # postings of the batch's terms
+    plan: DataFrame  # (query_id, term, block, late, ...): which blocks are left for the end
+    viable: DataFrame  # documents that are scored in full, with what the other blocks gave
+    units: DataFrame  # (query_id, id, units)
+
+
+def _summed(rows: DataFrame, units: Column) -> DataFrame:
+    return rows.groupBy("query_id", "id").agg(F.sum(units).alias("units"))
+
+
+def pruned_units(
+    index: KeywordIndex,
+    terms: DataFrame,
+    k: int = fixed.TOP_K,
+    k1: float = fixed.BM25_K1,
+    b: float = fixed.BM25_B,
+    small: bool | None = None,
+) -> Pruned:
+    """Units of every document that can be among the k best of a query; exact for those.
+
+    Bounds have a unit of slack per term, as each term's share of a score is rounded.
+    """
+    small = is_small(terms) if small is None else small
+    avg_dl = index.corpus.select("avg_dl").scalar()
+    units = term_units(avg_dl, k1, b)
+    known = terms.select("term").distinct()
+    known = F.broadcast(known) if small else known
+    matched = index.postings_of(terms).join(known, "term", "left_semi")
+    matched = written(matched.select("term", "id", "dl", "tf", length_class().alias("block")), "matched")
+    if index.blocks is None:
+        most = F.max(impact(F.col("tf"), F.col("dl"), avg_dl, k1, b))
+        blocks = matched.groupBy("term", "block").agg(most.alias("most"))
+    else:
+        most = impact(F.col("max_tf"), F.col("min_dl"), avg_dl, k1, b)
+        blocks = index.blocks.join(known, "term", "left_semi").select("term", "block", most.alias("most"))
+    weighted = written(weigh_terms(terms, index), "weighted")
+
+    # The rarest terms of each query; a window here holds the terms of one query.
+    met = F.sum("df").over(Window.partitionBy("query_id").orderBy("df", "term"))
+    seeds = weighted.withColumn("met", met).where((F.col("met") <= SEED_POSTINGS * k) | (F.col("met") == F.col("df")))
+    first = _summed(matched.join(F.broadcast(seeds) if small else seeds, "term"), units)
+    best = [F.desc("units"), F.asc("id")]
+    first = written(first_n(first, ["query_id"], best, SEED_DOCUMENTS * k).select("query_id", "id"), "seeds")
+    finished = _summed(first.join(weighted, "query_id").join(matched, ["term", "id"]), units)
+    least = first_n(finished, ["query_id"], best, k).where(F.col("rank") == k).select("query_id", F.col("units").alias("least"))
+
+    # Blocks of a query and class by rising bound: those that together stay below the threshold come late.
+    bound = F.col("qtf") * F.col("idf") * F.col("most") / SCORE_UNIT + 1
+    bounded = weighted.join(blocks, "term").join(least, "query_id", "left").select(
+        "query_id", "term", "block", "qtf", "idf", bound.alias("bound"), F.coalesce("least", F.lit(0)).alias("least")
+    )
+    one = Window.partitionBy("query_id", "block")
+    late = F.sum("bound").over(one.orderBy("bound", "term")) < F.col("least") * LATE
+    rest = F.sum(F.when(F.col("late"), F.col("bound")).otherwise(0.0)).over(one)
+    plan = written(bounded.withColumn("late", late).withColumn("rest", rest), "plan")
+    early = plan.where("not late").select("query_id", "term", "block", "qtf", "idf", "least", "rest")
+    found = matched.join(F.broadcast(early) if small and is_small(early) else early, ["term", "block"])
+    partial = found.groupBy("query_id", "id").agg(
+        F.sum(units).alias("units"), F.max("block").alias("block"), F.max("least").alias("least"), F.max("rest").alias("rest")
+    )
+    viable = written(
+        partial.where(F.col("units") + F.col("rest") >= F.col("least")).select("query_id", "id", "block", "units"), "viable"
+    )
+    others = plan.where("late").select("query_id", "term", "block", "qtf", "idf")
+    more = _summed(viable.drop("units").join(others, ["query_id", "block"]).join(matched.drop("block"), ["term", "id"]), units)
+    scored = viable.select("query_id", "id", "units").unionByName(more).groupBy("query_id", "id").agg(F.sum("units").alias("units"))
+    return Pruned(matched, plan, viable, scored)
+
+
 def bm25_search(
     index: KeywordIndex,
     queries: DataFrame,
@@ -241,9 +352,14 @@ def bm25_search(
     """The k best chunks per query; ties go to the lower id.
 
     ``id`` is the parent document of the chunk.  Several chunks of one parent
-    may appear, as ranks are taken before the parent is looked up.
+    may appear, as ranks are taken before the parent is looked up.  With a stored index, documents that can't be among the k best
+    are not scored (``pruned_units``); an index made for one batch is read once and scored whole.
     """
-    scored = score_documents(index, query_terms(queries, tokenizer), k1, b, small)
+    terms = query_terms(queries, tokenizer)
+    if index.blocks is None:
+        scored = score_documents(index, terms, k1, b, small)
+    else:
+        scored = pruned_units(index, written(terms, "terms"), k, k1, b, small).units.withColumn("score", F.col("units") * SCORE_UNIT)
     best = first_n(scored, ["query_id"], [F.desc("units"), F.asc("id")], k)
     return best.select(
         "query_id", "rank", parent_id(F.col("id")).alias("id"), F.col("id").alias("chunk_id"), "score"

@@ -515,6 +515,7 @@ def all_sql() -> dict[str, str]:
               AS is_valid
             FROM embeddings GROUP BY 1""",
         "knn_l2": f"SELECT * FROM {KNN}",
+        "knn_l2_stored": f"SELECT * FROM {KNN}",
         "hybrid_search": f"SELECT * FROM {HYBRID}",
         "answer_preview": f"SELECT query_id, position, substr(contents, 1, 1000) || '...' AS contents FROM {HYBRID}",
         "assemble_prompt": prompt_sql(),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sheetlake.functions import fixed
 from sheetlake.functions.headerpath import with_header_path
 from sheetlake.functions.text import calendar_year, file_safe_name, first_year, sheet_safe_name
-from sheetlake.operators import corpus, headers, hybrid, keys, longform, profile, separate, vectors
+from sheetlake.operators import corpus, headers, hybrid, keys, longform, profile, separate, vectors, vectorstore
 from sheetlake.operators.bm25 import KeywordIndex, bm25_search as bm25_search_in
 from sheetlake.plans import tables as t
 from sheetlake.plans.answer import search_documents
@@ -394,6 +394,16 @@ def knn_l2(spark, folder):
     return _vector_hits(spark, folder).withColumn("distance", F.round("distance", 6))
 
 
+@query
+def knn_l2_stored(spark, folder):
+    """The same neighbours from stored blocks."""
+    path = scratch_path(spark, "vector-blocks")
+    vectorstore.save_blocks(t.vectors(spark, folder), path)
+    remove_at_end(spark, path)
+    found = vectorstore.knn_l2_stored(spark.read.parquet(path), t.passage_vectors(spark, folder))
+    return found.withColumn("distance", F.round("distance", 6))
+
+
 def _hybrid(spark, folder):
     return hybrid.hybrid_search(
         _keyword_hits(spark, folder),

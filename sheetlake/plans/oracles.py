@@ -401,6 +401,13 @@ def corpus_samples() -> str:
       WHERE sample_kind != 'random' OR (SELECT count(*) FROM documents) > 3"""
 
 
+HEADER_CATALOG = " UNION ALL ".join(
+    f"""SELECT unnest({columns!r}) AS name, unnest(range({len(columns)}))::INT AS pos, n AS n_files, n AS presence_count
+    FROM (SELECT count(DISTINCT floor({columns[0]} / {rows}.0)) AS n FROM {name})"""
+    for name, columns, rows in t.MANY_FILES
+)
+
+
 def all_sql() -> dict[str, str]:
     doc_sources = [f"src{i}" for i in range(20)]
     clean = "replace(replace(coalesce({0}, ''), chr(10), ' '), chr(13), ' ') AS {0}"
@@ -410,6 +417,8 @@ def all_sql() -> dict[str, str]:
             trim(regexp_replace(url, '[^\p{L}\p{N}_]+', '_', 'g'), '_') AS file_name FROM pages""",
         "unpivot_wide": f"SELECT 'orders' AS source, * FROM ({UNPIVOT_ORDERS})",
         "stream_unpivot": UNPIVOT_ORDERS,
+        "header_catalog": HEADER_CATALOG,
+        "split_records": "SELECT doc_id::VARCHAR AS doc_id, nullif(text, '') AS text, lang, source FROM documents",
         "csv_round_trip": UNPIVOT_ORDERS,
         "long_round_trip": f"SELECT * FROM {CLEAN}",
         "document_round_trip": "SELECT CAST(doc_id AS VARCHAR) AS id, text AS contents FROM documents",

@@ -15,7 +15,7 @@ from sheetlake.plans import tables as t
 from sheetlake.plans.answer import search_documents
 from sheetlake.plans.index import index_documents
 from sheetlake.session import remove_at_end, scratch_path
-from sheetlake.sources import catalog, files, sinks
+from sheetlake.sources import catalog, files, headercatalog, records, sinks
 from sheetlake.streaming.unpivot import stream_files, unpivot_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -438,6 +438,30 @@ def csv_round_trip(spark, folder):
     return longform.unpivot_sources(files.read_wide_groups(spark, path)).drop("source")
 
 
+@query
+def header_catalog(spark, folder):
+    """Headers of very many small files, stored once each, with the number of files that have them."""
+    path = scratch_path(spark, "many-files")
+    for name, columns, rows in t.MANY_FILES:
+        frame = t.table(spark, folder, name).select(columns).withColumn("file_no", F.floor(F.col(columns[0]) / rows))
+        frame.repartition("file_no").write.partitionBy("file_no").option("header", True).csv(f"{path}/{name}")
+    remove_at_end(spark, path)
+    found = headercatalog.header_catalog(spark, path)
+    return found.columns.join(found.group_sizes(), "header_id").join(found.presence_count(), "name").select(
+        "name", "pos", "n_files", "presence_count"
+    )
+
+
+@query
+def split_records(spark, folder):
+    """Texts with line breaks written as CSV and read back line by line."""
+    path = scratch_path(spark, "records")
+    docs = t.table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    sinks.save_csv(docs, path)
+    remove_at_end(spark, path)
+    return records.read_wide_split(spark, path).named()
+
+
 @query
 def long_round_trip(spark, folder):
     """Long rows written by source and read back as the clean table."""

@@ -196,3 +196,11 @@ def passage_vectors(spark: SparkSession, folder: str) -> DataFrame:
     asked = passages(spark, folder).select("query_id")
     embedded = table(spark, folder, "embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
     return asked.join(embedded, "query_id")
+
+
+#: (table, columns, keys per file) of tables that are written as very many small files.
+MANY_FILES = (
+    ("orders", ["o_orderkey", "o_custkey", "o_orderstatus"], 200),
+    ("customer", ["c_custkey", "c_name", "c_nationkey"], 20),
+    ("part", ["p_partkey", "p_name"], 20),
+)

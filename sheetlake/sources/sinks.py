@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def save_csv(frame: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A report or separated table as CSV with a header line (no byte-order mark)."""
-    frame.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """A report or separated table as CSV with a header line (no byte-order mark); cells keep white space at their ends."""
+    writer = frame.write.mode(mode).option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def save_long(frame: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from sheetlake.operators.keys import map_key_columns
-from sheetlake.operators.separate import separate
+from sheetlake.operators.separate import separate, separate_groups
 from sheetlake.sources import files, sinks
 
 
@@ -22,3 +22,18 @@ def separate_folder(
         sinks.save_csv(main, f"{out_folder}/main/{name.removesuffix('.csv')}")
     if children is not None:
         sinks.save_csv(children, f"{out_folder}/children")
+
+
+def separate_many(spark: SparkSession, csv_folder: str, out_folder: str, key_pattern: str = "*.csv") -> None:
+    """The same for any number of files: one branch per header, one write of all main rows and one of all child rows.
+
+    Main rows are Parquet in a folder per source.
+    """
+    groups = files.read_wide_groups(spark, csv_folder)
+    key_map = map_key_columns(groups).join(files.list_sources(spark, csv_folder, key_pattern).select("source"), "source", "left_semi")
+    sinks.save_key_map(key_map, f"{out_folder}/key_map")
+    mains, children = separate_groups(groups, files.read_key_rows(spark, f"{out_folder}/key_map"))
+    if mains is not None:
+        sinks.save_long(mains, f"{out_folder}/main")
+    if children is not None:
+        children.write.mode("overwrite").parquet(f"{out_folder}/children")

@@ -16,6 +16,7 @@ from sheetlake.plans.answer import search_documents
 from sheetlake.plans.index import index_documents
 from sheetlake.session import remove_at_end, scratch_path
 from sheetlake.sources import catalog, files, headercatalog, records, sinks
+from sheetlake.sources.catalog import Source
 from sheetlake.streaming.unpivot import stream_files, unpivot_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -308,6 +309,16 @@ def separate_children_by_block(spark, folder):
     return separate.separate_children(t.wide_lineitem(spark, folder), "l_orderkey", keep_block=True)
 
 
+@query
+def separate_many_files(spark, folder):
+    """Child rows of many files that share a header, with each file's key column from the key map."""
+    source = t.wide_lineitem(spark, folder)
+    number = (F.col("c0").cast("long") / 500).cast("long")
+    group = Source(source.name, source.frame.withColumn("source", F.concat(F.lit("f"), number)), source.header, (source.name,))
+    named = group.frame.select("source").distinct().withColumn("key_column", F.lit("l_orderkey"))
+    return separate.separate_groups([group], named)[1]
+
+
 # --- corpus --------------------------------------------------------------------
 @query
 def build_documents(spark, folder):

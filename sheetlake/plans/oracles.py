@@ -417,6 +417,7 @@ def all_sql() -> dict[str, str]:
             trim(regexp_replace(url, '[^\p{L}\p{N}_]+', '_', 'g'), '_') AS file_name FROM pages""",
         "unpivot_wide": f"SELECT 'orders' AS source, * FROM ({UNPIVOT_ORDERS})",
         "stream_unpivot": UNPIVOT_ORDERS,
+        "stream_changing_headers": UNPIVOT_ORDERS,
         "header_catalog": HEADER_CATALOG,
         "split_records": "SELECT doc_id::VARCHAR AS doc_id, nullif(text, '') AS text, lang, source FROM documents",
         "csv_round_trip": UNPIVOT_ORDERS,

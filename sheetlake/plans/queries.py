@@ -17,6 +17,7 @@ from sheetlake.plans.index import index_documents
 from sheetlake.session import remove_at_end, scratch_path
 from sheetlake.sources import catalog, files, headercatalog, records, sinks
 from sheetlake.sources.catalog import Source
+from sheetlake.streaming.changing import unpivot_changing_stream
 from sheetlake.streaming.unpivot import stream_files, unpivot_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -515,3 +516,20 @@ def stream_clean(spark, folder):
     return _order_stream(
         spark, folder, lambda long: longform.clean_long_data(long.withColumn("source", named), ["o_orderkey"])
     )
+
+
+@query
+def stream_changing_headers(spark, folder):
+    """Files with their columns in two orders, unpivoted by one stream."""
+    path, out, state = (scratch_path(spark, x) for x in ("changing", "long", "stream"))
+    orders = t.text_table(t.table(spark, folder, "orders"))
+    ids = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    rest = [c for c in orders.columns if c not in ids]
+    even = F.col("o_orderkey").cast("long") % 2 == 0
+    sinks.save_csv(orders.where(even).select(*ids, *rest), f"{path}/even")
+    sinks.save_csv(orders.where(~even).select(*ids, *reversed(rest)), f"{path}/odd")
+    remove_at_end(spark, path)
+    long = unpivot_changing_stream(spark, path, out, state, len(ids))
+    remove_at_end(spark, out)
+    remove_at_end(spark, state)
+    return long.drop("source")

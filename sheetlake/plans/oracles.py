@@ -230,6 +230,13 @@ def diagnostics(sample: int | None) -> str:
     LEFT JOIN shown USING (source, pos)"""
 
 
+def sketched() -> str:
+    cells = cells_of(KEY_SOURCES, _has(t.TABLE_KEY_WORDS), None)
+    return f"""SELECT source, name, count(value) AS non_empty_count, count(DISTINCT value) AS n_distinct, true AS within_error
+      FROM (SELECT source, pos, name, CASE WHEN value NOT IN ({NA_LIST}) THEN value END AS value FROM {cells})
+      GROUP BY source, pos, name"""
+
+
 def key_map(sample: int | None) -> str:
     words, trumps = ("key", "name", "date"), ("o_orderdate", "p_partkey")
     cells = cells_of(KEY_SOURCES, _has((*words, *trumps)), sample)
@@ -492,6 +499,7 @@ def all_sql() -> dict[str, str]:
             coalesce(round(sum(non_empty_len) / nullif(sum(n_rows) - sum(n_empty), 0), 2), 0) AS avg_non_empty_cell_len
             FROM (SELECT *, {DOMINANT} AS dominant_type FROM {TYPE_COUNTS}) GROUP BY source, dominant_type""",
         "key_diagnostics": diagnostics(None),
+        "sketched_uniqueness": sketched(),
         "key_diagnostics_sampled": diagnostics(fixed.SAMPLE_ROWS),
         "key_diagnostics_full": diagnostics(None),
         "map_key_columns": key_map(None),

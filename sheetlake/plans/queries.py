@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sheetlake.functions import fixed
 from sheetlake.functions.headerpath import with_header_path
 from sheetlake.functions.text import calendar_year, file_safe_name, first_year, sheet_safe_name
-from sheetlake.operators import corpus, headers, hybrid, keys, longform, profile, separate, vectors, vectorstore
+from sheetlake.operators import corpus, headers, hybrid, keys, longform, profile, separate, sketches, vectors, vectorstore
 from sheetlake.operators.bm25 import KeywordIndex, bm25_search as bm25_search_in
 from sheetlake.plans import tables as t
 from sheetlake.plans.answer import search_documents
@@ -257,6 +257,23 @@ def key_diagnostics_sampled(spark, folder):
     )
 
 
+@query
+def sketched_uniqueness(spark, folder):
+    """Distinct values from sketches that were stored source by source, beside the exact count."""
+    path = scratch_path(spark, "sketches")
+    wanted = keys.contains_word(t.TABLE_KEY_WORDS)
+    cells = [keys.candidate_cells([s], wanted) for s in _key_sources(spark, folder)]
+    for some in cells:
+        sketches.add_sketches(some, path)
+    remove_at_end(spark, path)
+    found = sketches.estimated_uniqueness(spark.read.parquet(path))
+    exact = keys.column_uniqueness(catalog.union_sources(cells)).select("source", "pos", F.col("n_distinct").alias("exact"))
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= sketches.ERROR * F.col("exact")
+    return found.join(exact, ["source", "pos"]).select(
+        "source", "name", "non_empty_count", F.col("exact").alias("n_distinct"), near.alias("within_error")
+    )
+
+
 def _map_keys(spark, folder, sample_rows):
     return keys.map_key_columns(
         _key_sources(spark, folder),

@@ -17,13 +17,12 @@ from sheetlake.session import written
 
 SEQUENCE = 4096
 PART_ROWS = 32_768
-ROUNDS = 3
 BINS_PER_PART = 1 << 24
 #: Fewer than the encoder's default: the packing comes last in a pipeline, beside what other steps left in the workers.
 CACHED = 150_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PACKED = f"{PIECES}, part long, bin long, offset long, bins long, bound long, loosest boolean"
+PACKED = f"{PIECES}, row long, part long, bin long, offset long, bins long, bound long, loosest boolean"
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, limit: int = SEQUENCE) -> DataFrame:
@@ -119,10 +118,10 @@ def _packer(limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 
 def _dealt(rows: DataFrame, n: int, first_part: int, limit: int) -> DataFrame:
-    """Deal rows to parts of about ``PART_ROWS`` by hash and pack each part."""
+    """Deal rows to parts of about ``PART_ROWS`` by their numbers, whatever ids they share, and pack each part."""
     parts = max(1, math.ceil(n / PART_ROWS))
-    order = F.pmod(F.xxhash64("doc_id", "piece", F.lit(first_part)), F.lit(parts))
-    keyed = rows.select("doc_id", "piece", "start", "length", "ids_crc32", (order + first_part).cast("long").alias("part"))
+    order = F.pmod(F.xxhash64("row", F.lit(first_part)), F.lit(parts))
+    keyed = rows.select("doc_id", "piece", "start", "length", "ids_crc32", "row", (order + first_part).cast("long").alias("part"))
     return written(by_key(keyed, "part", _packer(limit), PACKED), "packed")
 
 
@@ -132,11 +131,24 @@ def pack(pieces: DataFrame, limit: int = SEQUENCE) -> DataFrame:
     Parts are packed on their own.  A part whose bin count is its lower bound is
     certified.  Parts with a gap pool all their pieces, certified parts
     those of their emptiest bin; the pool is dealt anew and packed again, as
-    long as that saves bins and the bound of the whole table is not met, for at
-    most ``ROUNDS`` rounds.  Only counts reach the driver.
+    long as that saves bins and the bound of the whole table is not met.  Only counts reach the driver.
     """
+    return rounds(pieces, limit)[0].select(
+        "doc_id",
+        "piece",
+        "start",
+        "length",
+        "ids_crc32",
+        (F.col("part") * BINS_PER_PART + F.col("bin")).alias("sequence_id"),
+        "offset",
+    )
+
+
+def rounds(pieces: DataFrame, limit: int = SEQUENCE) -> tuple[DataFrame, list[int]]:
+    """The packed pieces, and the number of bins after each round."""
     ship(pieces.sparkSession)
-    pieces = written(pieces, "pieces")
+    # Numbers are written with the pieces, so every round deals the same rows.
+    pieces = written(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     total = pieces.count()
     sizes = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
     counts = np.zeros(limit + 1, np.int64)
@@ -145,9 +157,11 @@ def pack(pieces: DataFrame, limit: int = SEQUENCE) -> DataFrame:
     goal = lower_bound(counts, limit)
     packed = _dealt(pieces, total, 0, limit)
     next_part = max(1, math.ceil(total / PART_ROWS))
-    for _ in range(ROUNDS):
+    history: list[int] = []
+    while True:
         parts = packed.groupBy("part").agg(F.max("bins").alias("bins"), F.max("bound").alias("bound"))
         state = parts.agg(F.coalesce(F.sum("bins"), F.lit(0)).alias("bins"), F.count(F.lit(1)).alias("parts")).head()
+        history.append(state.bins)
         if state.bins <= goal or state.parts < 2:
             break
         moves = (F.col("bins") > F.col("bound")) | F.col("loosest")
@@ -159,19 +173,14 @@ def pack(pieces: DataFrame, limit: int = SEQUENCE) -> DataFrame:
         if after >= before:
             break
         rest = packed.where(~moves)
-        left = rest.groupBy("part").agg((F.max("bins") - 1).alias("bins"), F.max("bound").alias("bound"))
+        # One bin, its emptiest, left a part that keeps others; none where it had left before.
+        lost = movers.groupBy("part").agg(F.lit(1).alias("lost"))
+        left = rest.groupBy("part").agg(F.max("bins").alias("bins"), F.max("bound").alias("bound")).join(lost, "part", "left")
+        left = left.select("part", (F.col("bins") - F.coalesce("lost", F.lit(0))).alias("bins"), "bound")
         rest = rest.drop("bins", "bound").join(left, "part").withColumn("loosest", F.lit(False))
         packed = written(rest.select(again.columns).unionByName(again), "packed")
         next_part += max(1, math.ceil(n / PART_ROWS))
-    return packed.select(
-        "doc_id",
-        "piece",
-        "start",
-        "length",
-        "ids_crc32",
-        (F.col("part") * BINS_PER_PART + F.col("bin")).alias("sequence_id"),
-        "offset",
-    )
+    return packed, history
 
 
 def packed_sequences(docs: DataFrame, tokenizer: str, end_id: int = 1, limit: int = SEQUENCE) -> DataFrame:

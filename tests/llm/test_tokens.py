@@ -183,3 +183,24 @@ def test_blocks_of_texts_give_the_ids_of_the_whole_texts(path, block, monkeypatc
         assert np.frombuffer(own, "<u4").tolist() == known and n == len(known)
     assert list(parts.all_counts(pa.array(said, pa.string()).slice(5, 7))) == counts[5:12]
     assert list(parts.all_ids(pa.array([], pa.string()))) == []
+
+
+@pytest.mark.parametrize("ids", ["null", "one", "own"])
+def test_pieces_without_own_ids_are_dealt_evenly_and_bins_are_counted(spark, monkeypatch, ids):
+    monkeypatch.setattr(packing, "PART_ROWS", 100)
+    pick = random.Random(4)
+    rows = [({"null": None, "one": 7, "own": k}[ids], 0, 0, pick.randint(1, 60), k) for k in range(4000)]
+    pieces = spark.createDataFrame(rows, packing.PIECES).repartition(3)
+    packed, history = packing.rounds(pieces, 64)
+    found = packed.collect()
+    assert sorted((x.length, x.ids_crc32) for x in found) == sorted((x[3], x[4]) for x in rows)
+    sizes, fill = {}, {}
+    for x in found:
+        sizes[x.part] = sizes.get(x.part, 0) + 1
+        fill[x.part, x.bin] = fill.get((x.part, x.bin), 0) + x.length
+    assert len(sizes) > 10 and max(sizes.values()) <= 200
+    assert max(fill.values()) <= 64
+    # The counts kept per round fall, and the last one is the true number of bins.
+    assert history == sorted(history, reverse=True) and history[-1] == len(fill)
+    goal = packing.lower_bound(np.bincount([x[3] for x in rows], minlength=65), 64)
+    assert goal <= len(fill) <= history[0]

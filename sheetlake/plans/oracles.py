@@ -425,6 +425,7 @@ def all_sql() -> dict[str, str]:
         "unpivot_wide": f"SELECT 'orders' AS source, * FROM ({UNPIVOT_ORDERS})",
         "stream_unpivot": UNPIVOT_ORDERS,
         "stream_changing_headers": UNPIVOT_ORDERS,
+        "incremental_long": UNPIVOT_ORDERS,
         "header_catalog": HEADER_CATALOG,
         "split_records": "SELECT doc_id::VARCHAR AS doc_id, nullif(text, '') AS text, lang, source FROM documents",
         "csv_round_trip": UNPIVOT_ORDERS,

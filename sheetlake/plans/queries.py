@@ -15,7 +15,7 @@ from sheetlake.plans import tables as t
 from sheetlake.plans.answer import search_documents
 from sheetlake.plans.index import index_documents
 from sheetlake.session import remove_at_end, scratch_path
-from sheetlake.sources import catalog, files, headercatalog, records, sinks
+from sheetlake.sources import catalog, files, headercatalog, manifest, records, sinks
 from sheetlake.sources.catalog import Source
 from sheetlake.streaming.changing import unpivot_changing_stream
 from sheetlake.streaming.unpivot import stream_files, unpivot_stream
@@ -550,3 +550,18 @@ def stream_changing_headers(spark, folder):
     remove_at_end(spark, out)
     remove_at_end(spark, state)
     return long.drop("source")
+
+
+@query
+def incremental_long(spark, folder):
+    """Files unpivoted in two runs; the second reads only what was added."""
+    path, out = scratch_path(spark, "growing"), scratch_path(spark, "converted")
+    orders = t.text_table(t.table(spark, folder, "orders"))
+    ids = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    ordered = orders.select(*ids, *[c for c in orders.columns if c not in ids])
+    for k in range(2):
+        sinks.save_csv(ordered.where(F.col("o_orderkey").cast("long") % 2 == k), f"{path}/{k}")
+        manifest.convert_changed(spark, path, out, id_width=len(ids))
+    for used in (path, out, f"{out}.manifest"):
+        remove_at_end(spark, used)
+    return manifest.read_converted(spark, out).drop("source")

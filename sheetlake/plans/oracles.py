@@ -448,6 +448,13 @@ def all_sql() -> dict[str, str]:
         + " FROM documents GROUP BY text",
         "presence": "SELECT DISTINCT text AS name, source, 1 AS present FROM documents",
         "presence_count": "SELECT text AS name, count(DISTINCT source) AS presence_count FROM documents GROUP BY text",
+        "bitmap_presence": "SELECT text AS name, count(DISTINCT source) AS presence_count FROM documents GROUP BY text",
+        "source_overlap": """WITH w AS (SELECT DISTINCT lang, unnest(string_split(text, ' ')) AS name FROM documents WHERE lang IS NOT NULL)
+            SELECT 'en' AS source_a, b.lang AS source_b, count(a.name) AS shared_names
+            FROM w b LEFT JOIN (SELECT name FROM w WHERE lang = 'en') a USING (name) WHERE b.lang <> 'en' GROUP BY b.lang""",
+        "keyword_containment": """SELECT keyword, count(*) AS n_names FROM (SELECT DISTINCT text FROM documents) d
+            JOIN (SELECT DISTINCT unnest(string_split(text, ' ')) AS keyword FROM benchmark) k
+            ON keyword <> '' AND contains(d.text, keyword) GROUP BY keyword""",
         "explore_keyword": "SELECT DISTINCT text AS name FROM documents WHERE contains(text, 'eau')",
         "candidate_headers": f"""SELECT source, pos FROM {DOC_HEADERS}
             WHERE (contains(name, 'tion') OR contains(name, 'eau')) AND NOT contains(name, 'http')""",

@@ -9,7 +9,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sheetlake.functions import fixed
 from sheetlake.functions.headerpath import with_header_path
 from sheetlake.functions.text import calendar_year, file_safe_name, first_year, sheet_safe_name
-from sheetlake.operators import corpus, headers, hybrid, keys, longform, profile, separate, sketches, vectors, vectorstore
+from sheetlake.operators import (
+    bitmaps,
+    containment,
+    corpus,
+    headers,
+    hybrid,
+    keys,
+    longform,
+    profile,
+    separate,
+    sketches,
+    vectors,
+    vectorstore,
+)
 from sheetlake.operators.bm25 import KeywordIndex, bm25_search as bm25_search_in
 from sheetlake.plans import tables as t
 from sheetlake.plans.answer import search_documents
@@ -109,6 +122,29 @@ def presence_count(spark, folder):
     return headers.presence_count(t.document_headers(spark, folder))
 
 
+@query
+def bitmap_presence(spark, folder):
+    found = t.document_headers(spark, folder)
+    return bitmaps.bitmap_presence_count(bitmaps.presence_bitmaps(found, bitmaps.numbered(found, "source")))
+
+
+@query
+def source_overlap(spark, folder):
+    """Shared names of every language's sources with the first one."""
+    found = t.table(spark, folder, "documents").select(F.col("lang").alias("source"), F.explode(F.split("text", " ")).alias("name"))
+    found = found.where("source is not null")
+    pairs = found.select(F.col("source").alias("source_b")).distinct().withColumn("source_a", F.lit("en"))
+    return bitmaps.source_overlap(found, pairs.where("source_a <> source_b"))
+
+
+@query
+def keyword_containment(spark, folder):
+    """In how many distinct texts every word of the benchmark occurs."""
+    words = t.passages(spark, folder).select(F.explode(F.split("text", " ")).alias("keyword"))
+    found = containment.containing_names(t.document_headers(spark, folder), words)
+    return found.groupBy("keyword").agg(F.count("*").alias("n_names"))
+
+
 @query
 def explore_keyword(spark, folder):
     return headers.explore_keyword(t.document_headers(spark, folder), "eau")

@@ -26,3 +26,8 @@ def sample_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
     """(doc_id, text, label) of sampled documents.  The sample is bounded, so it is sent to every task."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.join(F.broadcast(sample), "doc_id")
+
+
+def one_text_each(sample: DataFrame) -> DataFrame:
+    """(doc_id, text, label) with one row per id, whatever rows repeat it: the text with the least hash."""
+    return sample.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.min("label").cast("int").alias("label"))

@@ -1,7 +1,7 @@
 """Quality rules: counts of words, symbols and repeats, then a calibrated logistic regression on hashed n-grams.
 
 The regression is fitted on at most ``SAMPLE`` labelled rows.  Its features are
-the shares of hashed words and hashed character triples of a text; its logits
+the shares of hashed words, hashed runs of two words and hashed character triples of a text; its logits
 are turned into probabilities by a two-parameter fit on rows held back from
 training.  Whole texts are scored in Arrow batches against a fixed threshold.
 """
@@ -16,12 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sheetlake.llm.labelled import sample_labels, sample_texts
+from sheetlake.llm.labelled import one_text_each, sample_labels, sample_texts
 from sheetlake.llm.ship import ship
 from sheetlake.llm.words import SPACES, each_text, mix
 
 SAMPLE = 4_000
 BITS = 14
+KINDS = 3
 SCALE = 20.0
 STEPS = 150
 RATE = 0.3
@@ -40,17 +41,19 @@ _SYMBOLS[list(b"#*$%&|<>")] = True
 
 @dataclass
 class Model:
-    """Weights per hashed word and character triple, bias, and the two parameters of the calibration."""
+    """Weights per hashed word, run of two words and character triple, bias, and the two parameters of the calibration."""
 
     words: np.ndarray
+    pairs: np.ndarray
     triples: np.ndarray
     bias: float
     slope: float
     shift: float
 
-    def probability(self, words: np.ndarray, triples: np.ndarray) -> float:
+    def probability(self, words: np.ndarray, text: str) -> float:
         logit = self.bias
-        for weights, places in ((self.words, words), (self.triples, triples)):
+        kinds = (self.words, word_places(words)), (self.pairs, pair_places(words)), (self.triples, triple_places(text))
+        for weights, places in kinds:
             if len(places):
                 logit += SCALE * float(weights[places].mean())
         return float(_sigmoid(np.array(self.slope * logit + self.shift)))
@@ -64,6 +67,11 @@ def word_places(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+def pair_places(words: np.ndarray) -> np.ndarray:
+    """Hashed runs of two words, so that their order counts."""
+    return word_places(mix(words[:-1] + np.uint64(1)) ^ mix(words[1:] + np.uint64(2)) * np.uint64(3))
+
+
 def triple_places(text: str) -> np.ndarray:
     """Hashed runs of three characters."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -116,15 +124,15 @@ def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple[int | None, str, bytes, np
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sparse shares of each labelled text: places below 2**BITS are words, those above triples."""
+    """Sparse shares of each labelled text: 2**BITS places for words, as many for runs of two, then triples."""
     for batch in batches:
         places, shares = [], []
         for _, text, _, words in _rows_of(batch):
             place, share = [], []
-            for base, some in ((0, word_places(words)), (1 << BITS, triple_places(text))):
+            for kind, some in enumerate((word_places(words), pair_places(words), triple_places(text))):
                 counts = np.bincount(some, minlength=1)
                 filled = np.flatnonzero(counts)
-                place.append(filled + base)
+                place.append(filled + (kind << BITS))
                 share.append(counts[filled] * (SCALE / max(1, len(some))))
             places.append(np.concatenate(place).astype(np.int32))
             shares.append(np.concatenate(share).astype(np.float32))
@@ -141,10 +149,10 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(labels: np.ndarray, places: list[np.ndarray], shares: list[np.ndarray]) -> Model:
     """Logistic regression by Adam steps on three quarters of the rows, calibrated on the rest."""
-    size = 2 << BITS
+    size = KINDS << BITS
     if len(labels) < 8 or labels.min() == labels.max():
         rate = (labels.sum() + 1) / (len(labels) + 2)
-        return Model(np.zeros(1 << BITS), np.zeros(1 << BITS), float(np.log(rate / (1 - rate))), 1.0, 0.0)
+        return Model(*np.zeros((KINDS, 1 << BITS)), float(np.log(rate / (1 - rate))), 1.0, 0.0)
     learn = np.arange(len(labels)) % 4 != 3
     if labels[learn].min() == labels[learn].max():
         learn[:] = True
@@ -167,7 +175,7 @@ def fit(labels: np.ndarray, places: list[np.ndarray], shares: list[np.ndarray])
     if not held.any() or labels[held].min() == labels[held].max():
         held[:] = True
     a, b = calibrate(logits[held], labels[held])
-    return Model(weights[: 1 << BITS], weights[1 << BITS :], float(bias), a, b)
+    return Model(*weights.reshape(KINDS, -1), float(bias), a, b)
 
 
 def calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -199,6 +207,7 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         [
             {
                 "words": model.words.astype("<f4").tobytes(),
+                "pairs": model.pairs.astype("<f4").tobytes(),
                 "triples": model.triples.astype("<f4").tobytes(),
                 "numbers": [model.bias, model.slope, model.shift],
             }
@@ -208,21 +217,21 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, column: str = "quality", rows: int = SAMPLE) -> Model:
     """Fit on a sample of at most ``rows`` labelled documents, in one task; the model has a fixed size."""
-    sample = sample_texts(docs, sample_labels(labels.withColumn(column, F.col(column).cast("int")), column, rows))
+    sample = one_text_each(sample_texts(docs, sample_labels(labels.withColumn(column, F.col(column).cast("int")), column, rows)))
     features = sample.select("doc_id", "text", "label").mapInArrow(
         _features, "doc_id long, label int, places array<int>, shares array<float>"
     )
-    found = features.repartition(1).mapInArrow(_train, "words binary, triples binary, numbers array<double>").collect()
+    found = features.repartition(1).mapInArrow(_train, "words binary, pairs binary, triples binary, numbers array<double>").collect()
     if not found:
         return fit(np.zeros(0), [], [])
-    return Model(*(np.frombuffer(found[0][k], "<f4") for k in range(2)), *found[0].numbers)
+    return Model(*(np.frombuffer(found[0][k], "<f4") for k in range(KINDS)), *found[0].numbers)
 
 
 def _scorer(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [
-                (doc_id, *base_counts(raw, words), model.probability(word_places(words), triple_places(text)))
+                (doc_id, *base_counts(raw, words), model.probability(words, text))
                 for doc_id, text, raw, words in _rows_of(batch)
             ]
             names = [x.split()[0] for x in SCORED.split(", ")]

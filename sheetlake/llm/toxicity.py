@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sheetlake.llm.labelled import crc_mod, sample_labels, sample_texts
+from sheetlake.llm.labelled import crc_mod, one_text_each, sample_labels, sample_texts
 from sheetlake.llm.quality import _sigmoid, calibrate
 from sheetlake.llm.ship import ship
 from sheetlake.llm.spans import free_name
@@ -263,9 +263,7 @@ def bounded_examples(docs: DataFrame, labels: DataFrame, rows: int, postings: in
     Documents are taken in the order of a hash of their ids; of several texts of one id, the one with the least hash counts.
     """
     picked = sample_labels(labels.withColumn("toxic", F.col("toxic").cast("int")), "toxic", rows)
-    sample = sample_texts(docs, picked).groupBy("doc_id").agg(
-        F.min_by("text", F.xxhash64("text")).alias("text"), F.min("label").cast("int").alias("label")
-    )
+    sample = one_text_each(sample_texts(docs, picked))
     found = written(
         sample.mapInArrow(_example_rows, "doc_id long, label int, n long, terms binary, counts binary"), "examples"
     )

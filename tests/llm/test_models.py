@@ -199,3 +199,25 @@ def test_examples_are_found_by_any_of_their_terms(spark):
     for k, _ in learned:
         assert found[1000 + k].neighbours[0] == k
         assert abs(found[1000 + k].similarities[0] - 1) < 1e-9
+
+
+def test_quality_sees_the_order_of_words(spark):
+    """Texts of the same words, of which only the order differs."""
+    pick = random.Random(8)
+    rows, labels = [], []
+    for k in range(400):
+        words = []
+        for _ in range(40):
+            words += ["left", "right"] if k % 2 else ["right", "left"]
+            words.append(pick.choice(["and", "or", "then", "but"]))
+        rows.append((k, "".join(x + " " for x in words)))
+        labels.append((k, k % 2))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    found = [(quality.THRESHOLD <= p, bool(k % 2)) for k, p in ((x.doc_id, x.probability) for x in quality.quality(docs, labels).collect())]
+    assert sum(a == b for a, b in found) >= 390
+    words = next(iter(quality.each_text([rows[1][1].encode()])))
+    parts = [quality.SCALE * float(w[p].mean()) for w, p in (
+        (model.words, quality.word_places(words)), (model.pairs, quality.pair_places(words)), (model.triples, quality.triple_places(rows[1][1])))]
+    logit = model.slope * (model.bias + sum(parts)) + model.shift
+    assert abs(model.probability(words, rows[1][1]) - 1 / (1 + np.exp(-logit))) < 1e-9

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sheetlake.functions import fixed, tokens
 from sheetlake.functions.text import parent_id
-from sheetlake.operators.sizes import is_small
+from sheetlake.operators.sizes import is_small, spread_texts
 from sheetlake.operators.topn import first_n
 from sheetlake.session import written
 
@@ -170,7 +170,7 @@ def spread(chunks: DataFrame) -> DataFrame:
     Whole texts are shuffled once, before they are cut into tokens: they are
     much smaller than their postings.
     """
-    return chunks.select("id", "contents").repartition("id").select(
+    return spread_texts(chunks.select("id", "contents"), "id", "contents").select(
         F.col("id").alias("parent_id"), "id", "contents"
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sheetlake.functions import fixed, tokens
 from sheetlake.operators.bm25 import KeywordIndex, build_index
 from sheetlake.operators.corpus import build_document_parts, chunk_docs, tokenize_docs
+from sheetlake.operators.sizes import spread_texts
 from sheetlake.sources import files, sinks
 
 
@@ -22,7 +23,7 @@ def index_documents(
     One shuffle places the documents by id; tokens, chunks, term counts and the
     scores of a later search are all made where the document lies.
     """
-    placed = docs.select("id", "contents").repartition("id")
+    placed = spread_texts(docs.select("id", "contents"), "id", "contents")
     chunks = chunk_docs(tokenize_docs(placed, tokenizer), max_bytes)
     return build_index(chunks, tokens.spaced, vocabulary, small)
 

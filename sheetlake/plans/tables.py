@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheetlake.functions import fixed
+from sheetlake.operators.sizes import spread_texts
 from sheetlake.sources.catalog import Source
 
 # Words searched for in document texts that stand in for header names.
@@ -34,8 +35,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(docs: DataFrame) -> DataFrame:
-    """Documents placed by id: a file of one row group, or of a few long texts, is many tasks."""
-    return docs.repartition("id")
+    """Documents placed by id: a file of one row group, or of a few long texts, is many tasks of bounded size."""
+    return spread_texts(docs, "id", "contents")
 
 
 def as_text(column: Column, kind: str) -> Column:

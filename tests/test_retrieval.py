@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sheetlake.functions import fixed, tokens
 from sheetlake.operators import bm25, corpus, hybrid, sizes, vectors
 from sheetlake.operators.ordered import running_total
-from sheetlake.plans import answer
+from sheetlake.plans import answer, tables
 from sheetlake.plans.index import index_documents
 
 
@@ -323,3 +323,11 @@ def test_size_check_looks_at_few_rows(spark):
     assert sizes.is_small(spark.range(10), 10) and not sizes.is_small(spark.range(11), 10)
     wide = spark.range(10).select(F.repeat(F.lit("x"), 100).alias("t"))
     assert not sizes.is_small(wide, 100, 1000) and sizes.is_small(wide, 100, 2000)
+
+
+def test_more_text_makes_more_tasks(spark):
+    docs = spark.range(100).select(F.col("id").cast("string").alias("id"), F.repeat(F.lit("abcdefg "), 1 << 17).alias("contents"))
+    for placed in (bm25.spread(docs), tables.spread(docs), index_documents(docs).postings):
+        assert placed.rdd.getNumPartitions() >= 100 * 2**20 / sizes.TASK_BYTES > 4
+    assert sorted(x.id for x in bm25.spread(docs.where("id < 5")).select("id").collect()) == list("01234")
+    assert bm25.spread(docs.limit(0)).count() == 0

@@ -14,6 +14,7 @@ can still reach the threshold with them look them up.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -46,6 +47,11 @@ SEED_DOCUMENTS = 8
 # more blocks are read at once, and the fewer documents look up the others.
 LATE = 0.65
 
+# Matches of queries and postings that one task adds up.
+TASK_MATCHES = 2_000_000
+# One document in so many is scored first, for a score that the k best reach.
+FIRST = 64
+
 
 @dataclass(frozen=True)
 class KeywordIndex:
@@ -216,9 +222,14 @@ def build_query_index(
     )
     counted = written(marked.groupBy("parent_id", "id", "dl", "term").agg(F.count("*").alias("tf")), "query-terms")
     postings = counted.filter(F.col("term").isNotNull())
+    stats = written(term_stats(postings), "term-stats")
+    matches = vocabulary.join(stats, "term").agg(F.sum("df")).head()[0] or 0
+    least = chunks.sparkSession.sparkContext.defaultParallelism
     lengths = counted.groupBy("id").agg(F.max("dl").alias("dl"))
     corpus = lengths.agg(F.count("*").alias("n_docs"), (F.sum("dl") / F.count("*")).alias("avg_dl"))
-    return KeywordIndex(postings, term_stats(postings), corpus)
+    # Placed by document again: the scores of a document are added up in one task, of bounded size.
+    placed = postings.repartition(max(least, math.ceil(matches / TASK_MATCHES)), "parent_id")
+    return KeywordIndex(placed, stats, corpus)
 
 
 def query_terms(queries: DataFrame, tokenizer: Tokenizer = tokens.words) -> DataFrame:
@@ -340,6 +351,19 @@ def pruned_units(
     return Pruned(matched, plan, viable, scored)
 
 
+def reaching(scored: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """Scores that can be among the k best: not below the k-th best of some of the documents.
+
+    The others leave no task.  For very many queries all scores are kept.
+    """
+    if not is_small(queries.select("query_id")):
+        return scored
+    some = scored.where(F.pmod(F.xxhash64("id"), F.lit(FIRST)) == 0)
+    kth = first_n(some, ["query_id"], [F.desc("units"), F.asc("id")], k).where(F.col("rank") == k)
+    least = written(kth.select("query_id", F.col("units").alias("least")), "least")
+    return scored.join(F.broadcast(least), "query_id", "left").where(F.col("units") >= F.coalesce("least", "units")).drop("least")
+
+
 def bm25_search(
     index: KeywordIndex,
     queries: DataFrame,
@@ -353,11 +377,12 @@ def bm25_search(
 
     ``id`` is the parent document of the chunk.  Several chunks of one parent
     may appear, as ranks are taken before the parent is looked up.  With a stored index, documents that can't be among the k best
-    are not scored (``pruned_units``); an index made for one batch is read once and scored whole.
+    are not scored (``pruned_units``); an index made for one batch is
+    scored whole, and only scores that can be among the k best leave their task (``reaching``).
     """
     terms = query_terms(queries, tokenizer)
     if index.blocks is None:
-        scored = score_documents(index, terms, k1, b, small)
+        scored = reaching(score_documents(index, terms, k1, b, small), queries, k)
     else:
         scored = pruned_units(index, written(terms, "terms"), k, k1, b, small).units.withColumn("score", F.col("units") * SCORE_UNIT)
     best = first_n(scored, ["query_id"], [F.desc("units"), F.asc("id")], k)

@@ -331,3 +331,23 @@ def test_more_text_makes_more_tasks(spark):
         assert placed.rdd.getNumPartitions() >= 100 * 2**20 / sizes.TASK_BYTES > 4
     assert sorted(x.id for x in bm25.spread(docs.where("id < 5")).select("id").collect()) == list("01234")
     assert bm25.spread(docs.limit(0)).count() == 0
+
+
+def test_only_scores_that_can_be_among_the_best_leave_their_task(spark):
+    pick = random.Random(6)
+    rows = [(q, f"d{d:04d}", pick.randint(1, 400)) for q in range(3) for d in range(3000 if q else 20)]
+    scored = spark.createDataFrame(rows, "query_id int, id string, units bigint")
+    queries = spark.createDataFrame([(q,) for q in range(4)], "query_id int")
+    kept = {tuple(x) for x in bm25.reaching(scored, queries, 5).collect()}
+    for q in range(3):
+        mine = sorted((x for x in rows if x[0] == q), key=lambda x: (-x[2], x[1]))
+        assert {x for x in mine if x[2] >= mine[4][2]} <= kept
+        assert q == 0 or sum(x[0] == q for x in kept) < 1500
+
+
+def test_scores_are_added_up_in_tasks_of_bounded_size(spark, docs, questions, monkeypatch):
+    monkeypatch.setattr(bm25, "TASK_MATCHES", 1)
+    index = bm25.build_query_index(docs.withColumn("parent_id", F.col("id")), bm25.query_terms(questions), small=True)
+    matches = bm25.query_terms(questions).join(index.terms, "term").agg(F.sum("df")).head()[0]
+    assert index.postings.rdd.getNumPartitions() == matches > 4
+    assert rows_of(bm25.bm25_search(index, questions, 2, small=True)) == brute_bm25(TEXTS, QUESTIONS, 2)

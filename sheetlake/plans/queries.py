@@ -509,7 +509,7 @@ def header_catalog(spark, folder):
     path = scratch_path(spark, "many-files")
     for name, columns, rows in t.MANY_FILES:
         frame = t.table(spark, folder, name).select(columns).withColumn("file_no", F.floor(F.col(columns[0]) / rows))
-        frame.repartition("file_no").write.partitionBy("file_no").option("header", True).csv(f"{path}/{name}")
+        sinks.save_many_csv(frame, f"{path}/{name}", "file_no")
     remove_at_end(spark, path)
     found = headercatalog.header_catalog(spark, path)
     return found.columns.join(found.group_sizes(), "header_id").join(found.presence_count(), "name").select(

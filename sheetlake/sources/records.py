@@ -15,13 +15,24 @@ from sheetlake.sources.files import MAX_COLUMNS
 
 #: A field of a record that has a comma put in front of it; a quoted one may be followed by other characters.
 FIELD = r'(?s),("(?:[^"]|"")*"[^,]*|[^,]*)'
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTINGS_PER_CORE = 4
 QUOTED = r'(?s)^"((?:[^"]|"")*)"(.*)$'
 
 
 def lines_of(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> DataFrame:
-    """(path, source, start, no, line): all lines as bytes; in a file they are in the order of ``start`` and ``no``."""
+    """(path, source, start, no, line): all lines as bytes; in a file they are in the order of ``start`` and ``no``.
+
+    Folders are listed by a few tasks per core: Spark's own number is a task for every one or two folders.
+    """
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).option("lineSep", "\n")
-    return reader.text(folder).select(
+    most, few = spark.conf.get(LISTING), LISTINGS_PER_CORE * spark.sparkContext.defaultParallelism
+    spark.conf.set(LISTING, str(min(int(most), few)))
+    try:
+        found = reader.text(folder)
+    finally:
+        spark.conf.set(LISTING, most)
+    return found.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("source"),
         F.col("_metadata.file_block_start").alias("start"),

@@ -11,6 +11,17 @@ def save_csv(frame: DataFrame, path: str, mode: str = "overwrite") -> None:
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
+def save_many_csv(frame: DataFrame, path: str, key: str, tasks_per_core: int = 4) -> None:
+    """One CSV file with a header line per value of ``key``, for very many values.
+
+    The files are made by as many tasks as there are cores for, however few bytes they hold, and each task moves its own into
+    place: the driver would move them one by one.  A write that fails may leave files there.
+    """
+    tasks = tasks_per_core * frame.sparkSession.sparkContext.defaultParallelism
+    writer = frame.repartition(tasks, key).write.partitionBy(key).option("header", True)
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").csv(path)
+
+
 def save_long(frame: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Long rows as Parquet, one partition folder per source.
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sheetlake.operators import headers
-from sheetlake.sources import files, headercatalog, records
+from sheetlake.sources import files, headercatalog, records, sinks
 
 
 def write(path, rows, charset="utf-8", end="\n"):
@@ -85,3 +85,25 @@ def test_quotes_are_counted_by_byte(spark):
     frame = spark.createDataFrame([(x,) for x in lines], "line binary")
     found = [int(x[0]) for x in frame.select(records.quotes_in(F.col("line"))).collect()]
     assert found == [x.count(b'"') for x in lines]
+
+
+def test_many_files_are_made_and_listed_by_a_bounded_number_of_tasks(spark, tmp_path):
+    most = spark.conf.get(records.LISTING)
+    context, status = spark.sparkContext, spark.sparkContext.statusTracker()
+
+    def tasks(group, step):
+        context.setJobGroup(group, group)
+        step()
+        context.setLocalProperty("spark.jobGroup.id", None)
+        jobs = [status.getJobInfo(j) for j in status.getJobIdsForGroup(group)]
+        return [status.getStageInfo(x).numTasks for job in jobs for x in job.stageIds]
+
+    frame = spark.range(900).select("id", (F.col("id") % 90).alias("k"))
+    wrote = tasks("many-written", lambda: sinks.save_many_csv(frame, str(tmp_path / "many"), "k"))
+    assert max(wrote) == 4 * context.defaultParallelism
+    listed = tasks("many-listed", lambda: records.lines_of(spark, str(tmp_path)))
+    assert listed and max(listed) <= 4 * context.defaultParallelism < 90
+    assert spark.conf.get(records.LISTING) == most
+    found = headercatalog.header_catalog(spark, str(tmp_path))
+    assert found.files.count() == 90 and {tuple(x) for x in found.presence_count().collect()} == {("id", 90)}
+    assert records.lines_of(spark, str(tmp_path)).count() == 990

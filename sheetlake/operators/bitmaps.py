@@ -54,8 +54,9 @@ def source_overlap(headers: DataFrame, pairs: DataFrame) -> DataFrame:
     A source is a few bitmaps over the numbered names, however many columns it has, and a pair
     meets bucket by bucket; pairs without a common bucket share 0.  ``pairs`` is ``(source_a, source_b)``.
     """
-    names = numbered(headers, "name")
-    held = written(_bits(headers.join(names, "name"), "source", F.col("no")), "source-bits")
+    # Each name of a source once: however often it occurs, one row is joined.
+    once = written(headers.select("source", "name").where("source is not null and name is not null").distinct(), "source-names")
+    held = written(_bits(once.join(numbered(once, "name"), "name"), "source", F.col("no")), "source-bits")
     asked = pairs.select("source_a", "source_b").distinct()
     both = asked.withColumn("source", F.explode(F.array("source_a", "source_b"))).join(held, "source")
     met = (

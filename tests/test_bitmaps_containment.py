@@ -78,3 +78,17 @@ def test_long_names_take_time_in_proportion(spark):
     found = containment.containing_names(names, keywords).select("keyword").collect()
     assert sorted(x.keyword for x in found) == sorted(["IJKLMNOP", "IJ", "NOP", text[-7:]])
     assert time.monotonic() - began < 60
+
+
+def test_repeated_names_are_joined_once(spark, monkeypatch):
+    rows = [("a", f"n{k % 7}") for k in range(7_000)] + [("b", "n1"), ("b", "n9"), ("b", None), (None, "n2")]
+    sizes = {}
+
+    def kept(frame, label, written=bitmaps.written):
+        sizes[label] = (found := written(frame, label)).count()
+        return found
+
+    monkeypatch.setattr(bitmaps, "written", kept)
+    frame, pairs = spark.createDataFrame(rows, "source string, name string"), spark.createDataFrame([("a", "b")], "source_a string, source_b string")
+    assert [tuple(x) for x in bitmaps.source_overlap(frame, pairs).collect()] == [("a", "b", 1)]
+    assert sizes["source-names"] == 9

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from sheetlake.operators.ordered import running_total
+from sheetlake.operators.ordered import laid_out, total_over
 from sheetlake.sources.catalog import Source
 from sheetlake.sources.files import MAX_COLUMNS
 
@@ -63,11 +63,12 @@ def records_of(lines: DataFrame) -> DataFrame:
 
     A quote that is never closed makes the rest of its file one record.
     """
-    counted = running_total(lines.withColumn("quotes", quotes_in(F.col("line"))), ["path"], ["start", "no"], F.col("quotes"), "upto")
+    # Both totals are over one layout, so the lines are laid out and written once.
+    order = ["start", "no"]
+    laid = laid_out(lines.withColumn("quotes", quotes_in(F.col("line")).cast("long")), ["path"], order)
+    counted = total_over(laid, ["path"], order, F.col("quotes"), "upto")
     begins = ((F.col("upto") - F.col("quotes")) % 2 == 0).cast("int")
-    numbered = running_total(
-        counted.select("path", "source", "start", "no", "line", begins.alias("begins")), ["path"], ["start", "no"], F.col("begins"), "record_no"
-    )
+    numbered = total_over(counted, ["path"], order, begins, "record_no")
     parts = F.sort_array(F.collect_list(F.struct("start", "no", F.hex("line").alias("line"))))
     joined = numbered.groupBy("path", "source", "record_no").agg(parts.alias("parts"))
     text = F.unhex(F.array_join(F.transform("parts", lambda x: x["line"]), "0A"))

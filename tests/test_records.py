@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sheetlake.operators import headers
+from sheetlake.operators import headers, ordered
 from sheetlake.sources import files, headercatalog, records, sinks
 
 
@@ -107,3 +107,16 @@ def test_many_files_are_made_and_listed_by_a_bounded_number_of_tasks(spark, tmp_
     found = headercatalog.header_catalog(spark, str(tmp_path))
     assert found.files.count() == 90 and {tuple(x) for x in found.presence_count().collect()} == {("id", 90)}
     assert records.lines_of(spark, str(tmp_path)).count() == 990
+
+
+def test_lines_are_laid_out_once(spark, tmp_path, monkeypatch):
+    write(tmp_path / "a.csv", table(2, 300))
+    labels = []
+
+    def kept(frame, label, written=ordered.written):
+        labels.append(label)
+        return written(frame, label)
+
+    monkeypatch.setattr(ordered, "written", kept)
+    found = records.records_of(records.lines_of(spark, str(tmp_path)))
+    assert sorted(x.record_no for x in found.collect()) == list(range(1, 302)) and labels == ["slices"]

@@ -9,6 +9,8 @@ tree with probability 0.75, of any of ten trees with 1 - 1e-6.
 Small nodes are compared exhaustively: byte sketches first (a pair at
 the threshold is passed over with probability below 1e-6), then the full sets.
 A node that will not shrink is compared exhaustively as well, in pairs of blocks.
+What a node finds alike is a crowd; crowds that share members are put together where their full sets are
+then compared in fewer pairs, as the trees find the same large group of near copies again and again.
 """
 
 from __future__ import annotations
@@ -20,20 +22,27 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
+from sheetlake.llm import alike
 from sheetlake.llm.keyfilter import key_filter, maybe_in
 from sheetlake.llm.links import components
 from sheetlake.llm.scratch import Scratch
-from sheetlake.llm.shingles import SKETCH, jaccard_at_least, set_key, shingle_sets, sketch
+from sheetlake.llm.shingles import SKETCH, set_key, shingle_sets, sketch
 from sheetlake.llm.ship import ship
 from sheetlake.llm.words import mix
+from sheetlake.operators.sizes import is_small
 from sheetlake.session import written
 
 TREES = 10
 BRANCHES = 2
 LEVELS = 6
 NODE_ROWS = 4096
-UNIT_BYTES = 32 << 20
-TILE = 256
+#: A node that so many steps in a row have left with more than this share of its rows is compared as it is.
+SLOW_STEPS = 3
+SHRUNK = 0.7
+#: Rows of a block of such a node.
+BLOCK_ROWS = 16_384
+UNIT_BYTES = 16 << 20
+RUN_BYTES = 1 << 20
 
 SIGNED = "doc_id long, body string, n_shingles long, set_key binary, roots array<long>, sketch binary"
 
@@ -63,6 +72,32 @@ def rows_by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
+def runs_by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """The rows of many whole keys at a time and where each key begins, and the end, as ``rows_by_key`` takes one."""
+    held: list[pa.RecordBatch] = []
+    last = None
+
+    def run() -> tuple[pa.Table, np.ndarray]:
+        rows = pa.Table.from_batches(held)
+        keys = rows.column(key).to_numpy()
+        return rows, np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+        if held and sum(x.nbytes for x in held) >= RUN_BYTES and keys[-1] != last:
+            cut = int(np.flatnonzero(np.concatenate([[last], keys[:-1]]) != keys)[-1])
+            if cut:
+                held.append(batch.slice(0, cut))
+            yield run()
+            held, batch = [], batch.slice(cut)
+        held.append(batch)
+        last = keys[-1]
+    if held:
+        yield run()
+
+
 def by_key(frame: DataFrame, key: str, work: Callable, schema: str) -> DataFrame:
     """Apply a batch function to rows laid out so that equal keys follow each other in one task."""
     return frame.repartition(key).sortWithinPartitions(key).mapInArrow(work, schema)
@@ -104,7 +139,7 @@ def _bytes(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row's children along minwise functions chosen by its node."""
+    """Each row's children along minwise functions chosen by its node; further columns go on unchanged."""
     for batch in batches:
         node = batch.column(0).to_numpy().view(np.uint64)
         marks = _bytes(batch.column(2))
@@ -112,64 +147,24 @@ def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             chosen = mix(node + np.uint64(k + 1))
             place = (chosen % np.uint64(SKETCH)).astype(np.int64)
             child = mix(chosen ^ marks[np.arange(len(place)), place].astype(np.uint64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(child.view(np.int64)), batch.column(1), batch.column(2)], ["node", "rep", "sketch"]
-            )
-
-
-def _alike(marks: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
-    """Index pairs whose sketches agree in at least so many bytes, tile by tile."""
-    n = len(marks)
-    for i in range(0, n, TILE):
-        for j in range(i, n, TILE):
-            left, right = marks[i : i + TILE], marks[j : j + TILE]
-            same = np.zeros((len(left), len(right)), np.uint8)
-            for c in range(SKETCH):
-                same += left[:, c, None] == right[None, :, c]
-            a, b = np.nonzero(same >= least)
-            keep = a + i < b + j
-            yield from zip((a[keep] + i).tolist(), (b[keep] + j).tolist())
-
-
-class _Union:
-    def __init__(self, n: int) -> None:
-        self.up = list(range(n))
-
-    def find(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
+            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *batch.columns[1:]], batch.schema.names)
 
 
 def _compare_sketches(least: int) -> Callable:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for node in rows_by_key(batches, "unit"):
-            reps = node.column("rep").to_numpy()
-            reps, first = np.unique(reps, return_index=True)
-            marks = _bytes(node.column("sketch"))[first]
-            groups = _Union(len(reps))
-            for a, b in _alike(marks, least):
-                groups.join(a, b)
-            root = np.array([groups.find(x) for x in range(len(reps))])
-            sizes = np.bincount(root, minlength=len(reps))
-            keep = sizes[root] > 1
+        for rows, bounds in runs_by_key(batches, "unit"):
+            reps = rows.column("rep").to_numpy()
+            label = alike.groups(_bytes(rows.column("sketch")), bounds, least)
+            keep = np.bincount(label, minlength=len(label))[label] > 1
             if not keep.any():
                 continue
-            names = np.zeros(len(reps), np.uint64)
-            np.add.at(names, root, mix(reps.view(np.uint64)))
+            names, heads = np.zeros(len(reps), np.uint64), reps.copy()
+            np.add.at(names, label, mix(reps.view(np.uint64)))
+            np.minimum.at(heads, label, reps)
+            kept = label[keep]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(mix(names[root[keep]]).view(np.int64)),
-                    pa.array(reps[keep]),
-                    pa.array([x.tobytes() for x in marks[keep]], pa.binary()),
-                ],
-                ["crowd", "rep", "sketch"],
+                [pa.array(mix(names[kept]).view(np.int64)), pa.array(heads[kept]), pa.array(reps[keep])],
+                ["crowd", "head", "rep"],
             )
 
     return work
@@ -177,53 +172,68 @@ def _compare_sketches(least: int) -> Callable:
 
 def _compare_sets(least: int, percent: int) -> Callable:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit in rows_by_key(batches, "unit"):
-            reps = unit.column("rep").to_numpy()
-            sets = [np.frombuffer(x, np.uint64) for x in unit.column("members").to_pylist()]
-            known, found = _Union(len(reps)), []
-            for a, b in _alike(_bytes(unit.column("sketch")), least):
-                if known.find(a) != known.find(b) and jaccard_at_least(sets[a], sets[b], percent):
-                    known.join(a, b)
-                    found.append((a, b))
-            if found:
+        for rows, bounds in runs_by_key(batches, "unit"):
+            reps, marks = rows.column("rep").to_numpy(), _bytes(rows.column("sketch"))
+            members, pairs = rows.column("members"), []
+            for first, last in zip(bounds.tolist(), bounds[1:].tolist()):
+                found = alike.links(marks[first:last], members.slice(first, last - first).to_pylist(), least, percent)
+                pairs += [(first + a, first + b) for a, b in found]
+            if pairs:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(reps[[a for a, _ in found]]), pa.array(reps[[b for _, b in found]])], ["a", "b"]
+                    [pa.array(reps[[a for a, _ in pairs]]), pa.array(reps[[b for _, b in pairs]])], ["a", "b"]
                 )
 
     return work
 
 
 def _units(rows: DataFrame, key: str, blocks: str) -> DataFrame:
-    """Rows dealt to pairs of blocks; a key with one block is one unit."""
+    """Rows dealt to pairs of different blocks; a key with one block is one unit."""
     return (
         rows.withColumn("_blk", F.pmod(F.xxhash64("rep"), F.col(blocks)))
         .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)))
+        .where(f"_blk <> _other or {blocks} = 1")
         .withColumn("unit", F.xxhash64(key, F.least("_blk", "_other"), F.greatest("_blk", "_other")))
         .drop("_blk", "_other", key, blocks)
     )
 
 
 def crowds(reps: DataFrame, percent: int) -> DataFrame:
-    """(crowd, rep, sketch): representatives connected by alike sketches in a common small node."""
+    """(crowd, rep): representatives connected by alike sketches in a common small node, or in several."""
     least = passing(percent)
-    rows = reps.select(F.explode("roots").alias("node"), "rep", "sketch")
+    start = {"slow": F.lit(0).cast("long"), "parent": F.lit(None).cast("long")}
+    rows = reps.select(F.explode("roots").alias("node"), "rep", "sketch").withColumns(start)
     found = None
     with Scratch(reps.sparkSession) as scratch:
         for level in range(LEVELS + 1):
-            rows = scratch.written(rows, "paths")
+            rows = scratch.written(rows, "paths") if level else rows
             counts = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-            live = scratch.written(rows.join(counts, "node"), "nodes")
+            slow = F.when(F.col("n") > SHRUNK * F.col("parent"), F.col("slow") + 1).otherwise(0)
+            live = scratch.written(rows.join(counts, "node").withColumn("slow", slow).drop("parent"), "nodes")
             last = level == LEVELS
-            small = live if last else live.where(F.col("n") <= NODE_ROWS)
-            blocks = F.ceil(F.col("n") / NODE_ROWS).cast("long")
-            units = _units(small.withColumn("_blocks", blocks).drop("n"), "node", "_blocks")
-            some = by_key(units, "unit", _compare_sketches(least), "crowd long, rep long, sketch binary")
+            whole = F.lit(last) | (F.col("n") <= NODE_ROWS) | (F.col("slow") >= SLOW_STEPS)
+            blocks = F.when(F.col("n") <= NODE_ROWS, 1).otherwise(F.ceil(F.col("n") / BLOCK_ROWS)).cast("long")
+            units = _units(live.where(whole).withColumn("_blocks", blocks).drop("n", "slow"), "node", "_blocks")
+            some = by_key(units, "unit", _compare_sketches(least), "crowd long, head long, rep long")
             found = some if found is None else found.unionByName(some)
-            rows = live.where(F.col("n") > NODE_ROWS).select("node", "rep", "sketch")
+            rows = live.where(~whole).select("node", "rep", "sketch", "slow", F.col("n").alias("parent"))
             if last or rows.isEmpty():
                 break
-            rows = rows.mapInArrow(branch, "node long, rep long, sketch binary")
-        return written(found.dropDuplicates(["crowd", "rep"]), "crowds")
+            rows = rows.mapInArrow(branch, "node long, rep long, sketch binary, slow long, parent long")
+        return written(_together(scratch.written(found.dropDuplicates(["crowd", "rep"]), "found")), "crowds")
+
+
+def _together(found: DataFrame) -> DataFrame:
+    """(crowd, rep) of ``found(crowd, head, rep)``: crowds that share members are one crowd where that makes fewer pairs."""
+    group = components(found.select(F.col("head").alias("a"), F.col("rep").alias("b")))
+    rows = found.join(group.withColumnRenamed("id", "rep"), "rep").select("crowd", "rep", "component")
+    apart = rows.groupBy("component", "crowd").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    apart = apart.groupBy("component").agg(F.sum(F.col("n") * F.col("n")).alias("apart"))
+    whole = group.groupBy("component").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    better = whole.join(apart, "component").where("n * n > apart").select("component", F.lit(True).alias("apart"))
+    better = written(better, "apart")
+    # Few or none, as a rule; a large component's rows stay where they are.
+    marked = rows.join(F.broadcast(better) if is_small(better) else better, "component", "left")
+    return marked.select(F.when(F.col("apart"), F.col("crowd")).otherwise(F.col("component")).alias("crowd"), "rep").distinct()
 
 
 def _set_rows(size: int, wanted: Broadcast) -> Callable:
@@ -245,7 +255,7 @@ def links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFram
     fixed size lets through leave their place.
     """
     found = crowds(reps.select("rep", "roots", "sketch"), percent)
-    near = found.join(reps.select("rep", "doc_id", "set_key"), "rep")
+    near = found.join(reps.select("rep", "doc_id", "set_key", "sketch"), "rep")
     wanted = docs.sparkSession.sparkContext.broadcast(key_filter(near.select("doc_id")))
     sets = (
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

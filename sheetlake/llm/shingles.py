@@ -10,7 +10,8 @@ import numpy as np
 from sheetlake.llm.words import each_text, mix
 
 SKETCH = 128
-BLOCK = 4096
+#: Members whose hashes are held at once; they fit a core's cache.
+BLOCK = 256
 
 _ODD = np.random.default_rng(7).integers(1, 1 << 63, SKETCH, dtype=np.uint64) | np.uint64(1)
 _FLIP = np.random.default_rng(8).integers(1, 1 << 63, SKETCH, dtype=np.uint64)
@@ -42,9 +43,12 @@ def shingle_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
 def sketch(members: np.ndarray) -> np.ndarray:
     """For each of ``SKETCH`` hash functions the smallest value over the set."""
     least = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
+    hashes = np.empty((min(BLOCK, len(members)), SKETCH), np.uint64)
     for first in range(0, len(members), BLOCK):
         some = members[first : first + BLOCK, None]
-        np.minimum(least, ((some ^ _FLIP) * _ODD).min(axis=0), out=least)
+        block = np.bitwise_xor(some, _FLIP, out=hashes[: len(some)])
+        np.multiply(block, _ODD, out=block)
+        np.minimum(least, block.min(axis=0), out=least)
     return least
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sheetlake.session import written
 from sheetlake.sources.files import _BOM
-from sheetlake.sources.records import decoded, fields_of, lines_of, quotes_in, records_of
+from sheetlake.sources.records import decoded, fields_of, lines_of, quotes_in, records_of, small_files
 
 
 @dataclass(frozen=True)
@@ -40,13 +40,13 @@ def header_catalog(spark: SparkSession, folder: str | list[str], pattern: str =
     page 932.  Files without a line have no header and are left out.
     """
     lines = lines_of(spark, folder, pattern)
-    firsts = written(
-        lines.groupBy("path", "source").agg(
-            F.min_by("line", F.struct("start", "no")).alias("line"),
-            F.bool_and(F.is_valid_utf8(F.col("line").cast("string"))).alias("valid"),
-        ).select("path", "source", "line", F.when(F.col("valid"), "UTF-8").otherwise("MS932").alias("charset")),
-        "first-lines",
+    first = lines.groupBy("path", "source").agg(
+        F.min_by("line", F.struct("start", "no")).alias("line"),
+        F.bool_and(F.is_valid_utf8(F.col("line").cast("string"))).alias("valid"),
     )
+    charset = F.when(F.col("valid"), "UTF-8").otherwise("MS932").alias("charset")
+    with small_files(spark):
+        firsts = written(first.select("path", "source", "line", charset), "first-lines")
     open_ended = quotes_in(F.col("line")) % 2 == 1
     whole = firsts.where(~open_ended)
     others = firsts.where(open_ended).select("path", "charset")

@@ -7,6 +7,9 @@ No task needs more than its own slice of a file.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sheetlake.operators.ordered import laid_out, total_over
@@ -17,6 +20,8 @@ from sheetlake.sources.files import MAX_COLUMNS
 FIELD = r'(?s),("(?:[^"]|"")*"[^,]*|[^,]*)'
 LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 LISTINGS_PER_CORE = 4
+OPEN_COST = "spark.sql.files.openCostInBytes"
+FILES_PER_TASK = 512
 QUOTED = r'(?s)^"((?:[^"]|"")*)"(.*)$'
 
 
@@ -41,6 +46,18 @@ def lines_of(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv
     )
 
 
+@contextmanager
+def small_files(spark: SparkSession) -> Iterator[None]:
+    """For what is run meanwhile, tasks read up to so many small files each; by Spark's own setting four to 32."""
+    before = spark.conf.get(OPEN_COST)
+    most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    spark.conf.set(OPEN_COST, str(max(1, most // FILES_PER_TASK)))
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_COST, before)
+
+
 def quotes_in(line: Column) -> Column:
     """Number of quote characters; the byte is never part of another character in UTF-8 or code page 932."""
     digits = F.hex(line)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -16,12 +21,78 @@ def save_many_csv(frame: DataFrame, path: str, key: str, tasks_per_core: int = 4
 
     The files are made by as many tasks as there are cores for, however few bytes they hold, and each task moves its own into
     place: the driver would move them one by one.  A write that fails may leave files there.
+    In a folder of the machines' own file system tasks write the files themselves (``_files_of``).
     """
     tasks = tasks_per_core * frame.sparkSession.sparkContext.defaultParallelism
+    _, system = _path(frame.sparkSession, path)
+    if system.getUri().getScheme() == "file" and len(frame.columns) > 2:
+        return _save_files(frame, path, key, tasks)
     writer = frame.repartition(tasks, key).write.partitionBy(key).option("header", True)
     writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").csv(path)
 
 
+def _save_files(frame: DataFrame, path: str, key: str, tasks: int) -> None:
+    """``save_many_csv`` in a folder that all machines have mounted, with Spark's folders and lines."""
+    spark = frame.sparkSession
+    target, system = _path(spark, path)
+    if system.exists(target):
+        raise FileExistsError(path)
+    names = [c for c in frame.columns if c != key]
+    header = spark.range(1).select(F.to_csv(F.struct(*[F.lit(n).alias(f"c{i}") for i, n in enumerate(names)]))).head()[0]
+    value = F.nullif(F.col(f"`{key}`").cast("string"), F.lit(""))
+    line = F.to_csv(F.struct(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)]))
+    # Dealt by the folder's name: keys that share it, as null and empty text do, share a file.
+    rows = frame.select(value.alias("value"), line.alias("line")).repartition(tasks, "value").sortWithinPartitions("value")
+    system.mkdirs(target)
+    work = _files_of(target.toUri().getPath(), key, header)
+    rows.mapInArrow(work, "n long").write.format("noop").mode("overwrite").save()
+    system.create(_path(spark, f"{path}/_SUCCESS")[0]).close()
+
+
+def _files_of(folder: str, key: str, header: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Writes a file for each run of equal values of a task's rows ``(value, line)``.
+
+    Without Hadoop's native library each file and folder that it makes there costs it a process that sets permissions.
+    A file gets its name when it is whole, so a task that runs twice does no harm.
+    """
+
+    def safe(text: str) -> str:
+        return "".join(f"%{ord(c):02X}" if c in "\"#%'*/:=?\\{[]^\x7f" or "\0" < c < " " else c for c in text)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def named(value: str | None) -> str:
+            return os.path.join(folder, f"{safe(key)}={'__HIVE_DEFAULT_PARTITION__' if value is None else safe(value)}")
+
+        out, place, count = None, None, 0
+
+        def end() -> None:
+            out.close()
+            os.replace(out.name, os.path.join(place, "part-00000.csv"))
+
+        for batch in batches:
+            values, lines = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            first = 0
+            while first < len(values):
+                last = first + 1
+                while last < len(values) and values[last] == values[first]:
+                    last += 1
+                if place != named(values[first]):
+                    if out is not None:
+                        end()
+                    place = named(values[first])
+                    os.makedirs(place, exist_ok=True)
+                    out = open(os.path.join(place, f"_part-{uuid.uuid4().hex}"), "wb")
+                    out.write(f"{header}\n".encode())
+                    count += 1
+                out.write("".join(f"{x}\n" for x in lines[first:last]).encode())
+                first = last
+        if out is not None:
+            end()
+        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], ["n"])
+
+    return write
+
+
 def save_long(frame: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Long rows as Parquet, one partition folder per source.
 
